@@ -19,7 +19,7 @@ from casebook.session import written
 # Categories that count as violent.
 VIOLENT = ("HOMICIDE", "ASSAULT", "BATTERY", "ROBBERY")
 
-POINTS_PER_TASK = 200_000
+POINTS_PER_TASK = 100_000
 
 
 def valid_points(df: DataFrame, lat: str, lon: str) -> DataFrame:
@@ -62,23 +62,36 @@ def place_counts(df: DataFrame, lat: str, lon: str, category: str) -> DataFrame:
     )
 
 
-def axes(places: DataFrame, lat: str, lon: str) -> tuple[int, Axis, Axis]:
-    """Rows, and mean and sample deviation of both coordinates, weighted by the rows of a place."""
+@dataclass(frozen=True)
+class Scale:
+    """How many rows and places there are, and both axes weighted by the rows of a place."""
+
+    rows: int
+    places: int
+    lat: Axis
+    lon: Axis
+
+
+def measure(places: DataFrame, lat: str, lon: str) -> Scale:
+    """Two small aggregates: means first, then squares around them, which keeps all digits."""
     weight = F.col("weight")
-    means = places.agg(
+    first = places.agg(
         F.coalesce(F.sum(weight), F.lit(0)).alias("rows"),
+        F.count(F.lit(1)).alias("places"),
         *(F.try_divide(F.sum(F.col(c) * weight), F.sum(weight)).alias(c) for c in (lat, lon)),
     ).first()
-    rows = means["rows"]
-    if not rows:
-        return 0, Axis(0.0, 0.0), Axis(0.0, 0.0)
+    rows = first["rows"]
 
     def squares(column: str) -> Column:
-        off = F.col(column) - F.lit(means[column])
-        return F.sum(off * off * weight).alias(column)
-
-    spread = places.agg(squares(lat), squares(lon)).first()
-    return rows, *(Axis(means[c], sqrt(spread[c] / (rows - 1)) if rows > 1 else 0.0) for c in (lat, lon))
+        off = F.col(column) - F.lit(first[column])
+        return F.coalesce(F.sum(off * off * weight), F.lit(0.0)).alias(column)
+
+    second = places.agg(squares(lat), squares(lon)).first()
+    return Scale(
+        rows,
+        first["places"],
+        *(Axis(first[c], sqrt(second[c] / (rows - 1)) if rows > 1 else 0.0) for c in (lat, lon)),
+    )
 
 
 def cluster_profile(
@@ -111,35 +124,35 @@ def hotspots(
 
     The rows are read once to count them per place. Every iteration then runs over the weighted
     places, which gives the centres that the single rows would give: each row pulls equally.
-    Places are hash-partitioned and sorted, so neither the layout of the input nor a recomputed
-    partition changes the result.
+    Places are hash-partitioned by their own number and sorted, so neither the layout of the input,
+    the size of the cluster nor a recomputed partition changes the result.
     """
     spark = df.sparkSession
     places = written(place_counts(df, lat, lon, category), "places")
-    rows, lat_axis, lon_axis = axes(places, lat, lon)
-    if rows < k:
+    scale = measure(places, lat, lon)
+    if scale.rows < k:
         return None
 
-    tasks = max(spark.sparkContext.defaultParallelism, places.count() // POINTS_PER_TASK)
     points = (
-        places.repartition(tasks, lat, lon)
+        places.repartition(1 + scale.places // POINTS_PER_TASK, lat, lon)
         .groupBy(lat, lon)
         .agg(F.sum("weight").cast("double").alias("weight"))
         .sortWithinPartitions(lat, lon)
     )
     standardise = SQLTransformer(
-        statement=f"SELECT *, {lat_axis.scaled(lat)} AS _lat_z, {lon_axis.scaled(lon)} AS _lon_z FROM __THIS__"
+        statement=f"SELECT *, {scale.lat.scaled(lat)} AS _lat_z, {scale.lon.scaled(lon)} AS _lon_z FROM __THIS__"
     )
     assemble = VectorAssembler(inputCols=["_lat_z", "_lon_z"], outputCol="_features")
+    # the block solver fails where initialisation finds fewer centres than k
     cluster = KMeans(
-        k=k, seed=seed, maxIter=100, initSteps=10,
+        k=k, seed=seed, maxIter=100, initSteps=10, solver="row",
         featuresCol="_features", predictionCol="cluster_id", weightCol="weight",
     )
     model = Pipeline(stages=[standardise, assemble, cluster]).fit(points)
 
     centres = spark.createDataFrame(
         [
-            (i, lat_axis.unscaled(float(c[0])), lon_axis.unscaled(float(c[1])), float(c[0]), float(c[1]))
+            (i, scale.lat.unscaled(float(c[0])), scale.lon.unscaled(float(c[1])), float(c[0]), float(c[1]))
             for i, c in enumerate(model.stages[-1].clusterCenters())
         ],
         "cluster_id int, model_center_lat double, model_center_lon double, "
@@ -151,4 +164,4 @@ def hotspots(
         .orderBy(F.desc("crime_count"), "cluster_id")
     )
     assigned = model.transform(valid_points(df, lat, lon)).select(*keep, "cluster_id")
-    return Hotspots(assigned, profile, model, rows)
+    return Hotspots(assigned, profile, model, scale.rows)

@@ -10,6 +10,7 @@ from pyspark.sql.types import BinaryType, StringType
 
 # The most a hinted side may hold; every executor keeps a copy in memory.
 BROADCAST_BYTES = 64 * 1024 * 1024
+HOT_KEYS = 64
 
 
 def byte_size(df: DataFrame) -> int:
@@ -23,10 +24,46 @@ def byte_size(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(sum(sizes, F.lit(0))), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def broadcast_within(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``df`` when it measures at most ``max_bytes``; a larger one is left to a shuffle join,
-    whose hot keys the adaptive skew join splits."""
-    return F.broadcast(df) if byte_size(df) <= max_bytes else df
+def hot_keys(df: DataFrame, key: str) -> list:
+    """Keys that hold more than one shuffle partition's share of the rows.
+
+    A sketch finds them in one pass over the key column; at most ``HOT_KEYS`` values come back. A key
+    listed or missed by mistake costs balance, never a row.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {HOT_KEYS * 64})").alias("top"),
+    ).first()
+    return [
+        entry["item"]
+        for entry in found["top"] or ()
+        if entry["item"] is not None and entry["count"] * partitions > found["rows"]
+    ]
+
+
+def salted_left_join(facts: DataFrame, side: DataFrame, fact_key: str, side_key: str) -> DataFrame:
+    """Left join by shuffle in which facts with a hot key spread over all partitions.
+
+    The side's rows for those few keys are repeated once per salt; each fact has one salt and
+    so meets each of them once.
+    """
+    hot = hot_keys(facts, fact_key)
+    if not hot:
+        return facts.join(side, F.col(fact_key) == F.col(side_key), "left")
+    salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted_facts = facts.withColumn(
+        "_salt",
+        F.when(F.col(fact_key).isin(hot), (F.monotonically_increasing_id() % salts).cast("int")).otherwise(F.lit(0)),
+    )
+    salted_side = side.withColumn(
+        "_side_salt",
+        F.explode(
+            F.when(F.col(side_key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        ),
+    )
+    matches = (F.col(fact_key) == F.col(side_key)) & (F.col("_salt") == F.col("_side_salt"))
+    return salted_facts.join(salted_side, matches, "left").drop("_salt", "_side_salt")
 
 
 def join_events(
@@ -52,14 +89,18 @@ def attach_dimension(
     """Add dimension columns to facts, null where no key matches.
 
     ``columns`` maps dimension names to their names in the result. A key repeated in the dimension
-    repeats the fact. Rows without a key in the dimension can match nothing and are left out of it.
+    repeats the fact. The dimension is broadcast when it measures at most ``max_bytes``; a larger
+    one is joined by shuffle, with hot fact keys salted.
     """
     side = dimension.filter(F.col(dimension_key).isNotNull()).select(
         F.col(dimension_key).alias("_dimension_key"),
         *(F.col(name).alias(alias) for name, alias in columns.items()),
     )
-    side = broadcast_within(side, max_bytes)
-    return facts.join(side, F.col(fact_key) == F.col("_dimension_key"), "left").drop("_dimension_key")
+    if byte_size(side) <= max_bytes:
+        joined = facts.join(F.broadcast(side), F.col(fact_key) == F.col("_dimension_key"), "left")
+    else:
+        joined = salted_left_join(facts, side, fact_key, "_dimension_key")
+    return joined.drop("_dimension_key")
 
 
 def zero_fill_join(left: DataFrame, right: DataFrame, key: str, measures: Sequence[str], how: str) -> DataFrame:

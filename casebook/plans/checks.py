@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from casebook.functions import casts
 from casebook.functions.cleaning import upper_category
+from casebook.functions.rates import ones
 from casebook.operators.correlation import keyed_correlation
 from casebook.operators.counting import (
     count_by,
@@ -467,46 +468,36 @@ def kmeans_invariants(spark, sf_dir):
     """What must hold for any clustering: no row is lost, every row sits at its nearest centre, and
     every centre is the mean of its members (to a hundredth of a standard deviation)."""
     found = part_hotspots(spark, sf_dir)
-    centres = found.profile.select(
-        F.col("cluster_id").alias("other"), "model_center_lat", "model_center_lon",
-        "model_center_lat_scaled", "model_center_lon_scaled", "avg_lat", "avg_lon", "crime_count",
+    centres = [(float(lat), float(lon)) for lat, lon in found.model.stages[-1].clusterCenters()]
+    own = F.col("cluster_id") + 1
+    squares = F.array(
+        *((F.col("_lat_z") - lat) * (F.col("_lat_z") - lat) + (F.col("_lon_z") - lon) * (F.col("_lon_z") - lon)
+          for lat, lon in centres)
     )
-    # one row: k centres, and the scale of each axis as seen by the model
-    model_rows = centres.agg(
-        F.collect_list(F.struct("other", "model_center_lat_scaled", "model_center_lon_scaled")).alias("centres"),
-        F.sum("crime_count").alias("rows_profiled"),
-    )
-    scaled = found.model.stages[0].transform(found.assigned)
-
-    def squared(centre: Column) -> Column:
-        lat = F.col("_lat_z") - centre["model_center_lat_scaled"]
-        lon = F.col("_lon_z") - centre["model_center_lon_scaled"]
-        return lat * lat + lon * lon
-
-    measured = scaled.crossJoin(F.broadcast(model_rows)).select(
-        "cluster_id",
-        "_lat_z",
-        "_lon_z",
-        "rows_profiled",
-        F.array_min(F.transform("centres", squared)).alias("nearest"),
-        F.filter("centres", lambda c: c["other"] == F.col("cluster_id"))[0].alias("own"),
-    ).withColumn("distance", squared(F.col("own")))
-    per_cluster = measured.groupBy("cluster_id", "own", "rows_profiled").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(F.col("distance") > F.col("nearest") + 1e-9, 1).otherwise(0)).alias("not_nearest"),
-        F.avg("_lat_z").alias("lat"),
-        F.avg("_lon_z").alias("lon"),
+    standardise = found.model.stages[0]
+    per_cluster = (
+        standardise.transform(found.assigned)
+        .groupBy("cluster_id")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(ones(F.element_at(squares, own) > F.array_min(squares) + 1e-9)).alias("not_nearest"),
+            F.avg("_lat_z").alias("lat"),
+            F.avg("_lon_z").alias("lon"),
+        )
     )
     drift = F.greatest(
-        F.abs(F.col("lat") - F.col("own")["model_center_lat_scaled"]),
-        F.abs(F.col("lon") - F.col("own")["model_center_lon_scaled"]),
+        *(
+            F.abs(F.col(axis) - F.element_at(F.array(*(F.lit(centre[i]) for centre in centres)), own))
+            for i, axis in enumerate(("lat", "lon"))
+        )
     )
-    return per_cluster.agg(
+    sizes = found.profile.select("cluster_id", "crime_count")
+    return per_cluster.join(sizes, "cluster_id", "left").agg(
         F.lit(found.rows).cast("bigint").alias("rows_valid"),
         F.sum("n").alias("rows_assigned"),
-        F.max("rows_profiled").alias("rows_profiled"),
+        F.sum("crime_count").alias("rows_profiled"),
         F.sum("not_nearest").alias("not_nearest"),
-        F.sum(F.when(drift > 0.01, 1).otherwise(0)).alias("off_centre"),
+        F.sum(ones(drift > 0.01)).alias("off_centre"),
     )
 
 

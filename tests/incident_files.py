@@ -1,0 +1,92 @@
+"""The five input files, written by DuckDB from the test tables."""
+
+from __future__ import annotations
+
+import duckdb
+
+from casebook.sources.specs import DATASETS
+
+# column -> expression; columns not named stay empty
+FILES = {
+    "crimes": (
+        "orders",
+        {
+            "id": "o_orderkey",
+            "case_number": "'C' || o_orderkey",
+            "date": "strftime(o_orderdate + to_hours(cast(o_orderkey % 24 as int)), '%m/%d/%Y %I:%M:%S %p')",
+            "block": "lpad(cast(o_custkey % 50 as varchar), 3, '0') || 'XX S EXAMPLE'",
+            "primary_type": "case o_orderpriority when '1-URGENT' then 'HOMICIDE' when '2-HIGH' then 'BATTERY' else 'THEFT' end",
+            "description": "'said \"hi\", left'",
+            "arrest": "case o_orderstatus when 'F' then 'TRUE' else 'false' end",
+            "district": "case when o_orderkey % 50 = 0 then 'N/A' else cast(o_orderkey % 25 as varchar) end",
+            "latitude": "case when o_orderkey % 40 = 0 then '0' else cast(41.6 + (o_custkey % 30) / 100 as varchar) end",
+            "longitude": "cast(-87.9 + (o_custkey % 20) / 100 as varchar)",
+        },
+    ),
+    "arrests": (
+        "lineitem",
+        {
+            "case_number": "'C' || l_orderkey",
+            "arrest_date": "strftime(l_shipdate, '%m/%d/%Y %I:%M:%S %p')",
+            "race": "case l_returnflag when 'N' then ' white ' when 'A' then 'Black' else '' end",
+            "charge_1_type": "l_linestatus",
+        },
+    ),
+    "police_stations": (
+        "nation",
+        {
+            "district": "case n_nationkey when 0 then 'Headquarters' else cast(n_nationkey as varchar) end",
+            "district_name": "n_name",
+            "address": "n_nationkey || ' Example Ave' || chr(10)",
+            "zip": "'0' || (6000 + n_nationkey)",
+            "latitude": "case when n_nationkey = 24 then null else 41.6 + n_nationkey / 100 end",
+            "longitude": "-87.9 + n_nationkey / 100",
+        },
+    ),
+    "violence": (
+        "events",
+        {
+            "case_number": "case when event_type = 'click' then null else 'V' || event_id end",
+            "district": "user_id % 28",
+            "gunshot_injury_i": "case event_type when 'error' then 'YES' else 'NO' end",
+            "month": "month(ts)",
+        },
+    ),
+    "sex_offenders": (
+        "customer",
+        {
+            "last": "c_name",
+            "block": "lpad(cast(c_custkey % 60 as varchar), 3, '0') || 'XX N EXAMPLE'",
+            "gender": "'male'",
+            "birth_date": "'02/29/1980'",
+            "height": "'509'",
+            "victim_minor": "case when c_acctbal < 0 then 'Y' else 'N' end",
+        },
+    ),
+}
+
+
+def write_files(sf_dir: str, folder: str) -> None:
+    for spec in DATASETS:
+        source, columns = FILES[spec.name]
+        assert set(columns) <= set(spec.columns)
+        select = ", ".join(
+            f'{columns.get(name, "null")} as "{header}"' for name, header in zip(spec.columns, spec.headers)
+        )
+        duckdb.sql(f"select {select} from '{sf_dir}/{source}.parquet'").write_csv(
+            f"{folder}/{spec.file_name}", header=True
+        )
+
+
+def crimes_sql(sf_dir: str) -> str:
+    """The cleaned crimes in DuckDB's words, for comparison."""
+    c = FILES["crimes"][1]
+    return f"""
+        with raw as (select *, o_orderdate + to_hours(cast(o_orderkey % 24 as int)) as moment,
+                     try_cast({c['district']} as int) as district from '{sf_dir}/orders.parquet')
+        select 'C' || o_orderkey as case_number, {c['primary_type']} as primary_type, district,
+               year(moment) as year, month(moment) as month, hour(moment) as hour, dayofweek(moment) + 1 as day_of_week,
+               o_orderstatus = 'F' as arrest, regexp_extract({c['block']}, '^(\\d+)', 1) as block_key,
+               cast({c['latitude']} as double) as latitude, cast({c['longitude']} as double) as longitude
+        from raw where district is not null
+    """
