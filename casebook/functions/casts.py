@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 TIMESTAMP_PATTERN = "MM/dd/yyyy hh:mm:ss a"
 DATE_PATTERN = "MM/dd/yyyy"
 
+# Whatever can stand in no integer: a cheap test, as a failing cast costs an exception per row.
+_NOT_IN_INTEGER = r"[^0-9+\-\x00-\x20\x7f]"
+
 
 def to_int(text: Column) -> Column:
-    return text.try_cast("int")
+    return F.when(~text.rlike(_NOT_IN_INTEGER), text.try_cast("int"))
 
 
 def to_double(text: Column) -> Column:

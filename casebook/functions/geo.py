@@ -10,8 +10,8 @@ METRES_PER_DEGREE = 111_000.0
 
 
 def usable(coordinate: Column) -> Column:
-    """A coordinate that was really measured: present, a number, not the filler 0."""
-    return coordinate.isNotNull() & ~F.isnan(coordinate) & (coordinate != 0)
+    """A coordinate that was really measured: present, a finite number, not the filler 0."""
+    return coordinate.isNotNull() & (F.abs(coordinate) < float("inf")) & (coordinate != 0)
 
 
 def flat_distance_m(lat: Column, lon: Column, to_lat: Column, to_lon: Column, digits: int = 2) -> Column:

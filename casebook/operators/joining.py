@@ -46,7 +46,8 @@ def salted_left_join(facts: DataFrame, side: DataFrame, fact_key: str, side_key:
     """Left join by shuffle in which facts with a hot key spread over all partitions.
 
     The side's rows for those few keys are repeated once per salt; each fact has one salt and
-    so meets each of them once.
+    so meets each of them once. A salt follows the fact's place in its input split: copies of one
+    row spread too, and a scan that is run again gives the same salts.
     """
     hot = hot_keys(facts, fact_key)
     if not hot:

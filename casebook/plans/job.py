@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from casebook.plans import reports
-from casebook.session import build_session, written
+from casebook.session import build_session, drop_scratch, written
 from casebook.sinks.jdbc import JdbcTarget, write_table
 from casebook.sources.csv import MissingInput, load_csv, require_paths
 from casebook.sources.specs import DATASETS
@@ -34,8 +34,13 @@ def input_paths(data_dir: str) -> dict[str, str]:
     return {spec.name: f"{data_dir.rstrip('/')}/{spec.file_name}" for spec in DATASETS}
 
 
-def run(spark: SparkSession, paths: Mapping[str, str], write: Writer, *, k: int = 10) -> JobReport:
-    """Ingest every dataset, compute the five analyses and hand each table to ``write`` once."""
+def run(
+    spark: SparkSession, paths: Mapping[str, str], write: Writer, *, k: int = 10, preview: int = 0
+) -> JobReport:
+    """Ingest every dataset, compute the five analyses and hand each table to ``write`` once.
+
+    ``preview`` logs that many first rows of each table, at the price of computing them again.
+    """
     report = JobReport()
     require_paths(spark, paths.values())
 
@@ -58,6 +63,8 @@ def run(spark: SparkSession, paths: Mapping[str, str], write: Writer, *, k: int
                 table = written(table, name)
                 report.correlations[name] = reports.correlation_of(name, table).first()[0]
                 log.info("pearson r of %s and %s: %s", *pair, report.correlations[name])
+            for row in table.take(preview) if preview else ():
+                log.info("%s: %s", name, row)
             report.rows[name] = write(table, name)
             log.info("%s: %s rows", name, report.rows[name])
 
@@ -73,7 +80,7 @@ def run(spark: SparkSession, paths: Mapping[str, str], write: Writer, *, k: int
 
 
 def main() -> int:
-    """Run with ``DATA_DIR``, ``OUTPUT_DIR``, ``PG_URL`` and ``PG_USER`` from the environment."""
+    """Run with ``DATA_DIR``, ``OUTPUT_DIR``, ``PG_URL``, ``PG_USER`` and ``PREVIEW_ROWS`` from the environment."""
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(message)s")
     try:
         url = os.environ["PG_URL"]
@@ -87,7 +94,13 @@ def main() -> int:
     if output and spark.conf.get("spark.checkpoint.dir", None) is None:
         spark.sparkContext.setCheckpointDir(f"{output.rstrip('/')}/_checkpoints")
     try:
-        run(spark, input_paths(os.environ.get("DATA_DIR", "/data")), lambda df, name: write_table(df, name, target))
+        run(
+            spark,
+            input_paths(os.environ.get("DATA_DIR", "/data")),
+            lambda df, name: write_table(df, name, target),
+            preview=int(os.environ.get("PREVIEW_ROWS", "0")),
+        )
+        drop_scratch(spark)
     except MissingInput as error:
         log.error("%s", error)
         return 1

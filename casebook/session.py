@@ -45,9 +45,20 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_folder(spark)}/casebook/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder for one intermediate table."""
-    return f"{shared_folder(spark)}/casebook/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; results read from them are gone too."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -79,8 +79,11 @@ def read_raw(spark: SparkSession, path: str, spec: DatasetSpec, *, strict_header
 
 
 def _spread(spark: SparkSession, raw: DataFrame, path: str) -> DataFrame:
-    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
-    return raw.repartition(ceil(size / SPLIT_BYTES)) if size > SPLIT_BYTES else raw
+    """Spread rows that few tasks parse; enough files keep the cluster busy by themselves."""
+    files = spark.read.format("binaryFile").load(path).agg(F.count("length"), F.sum("length")).first()
+    wanted = ceil((files[1] or 0) / SPLIT_BYTES)
+    few = files[0] < min(wanted, spark.sparkContext.defaultParallelism)
+    return raw.repartition(wanted) if few else raw
 
 
 def clean_columns(raw: DataFrame, skip: Sequence[str] = ()) -> DataFrame:

@@ -44,6 +44,8 @@ def test_unreadable_numbers_are_null(apply):
     assert apply(["12", "abc", "12.7", "018", "00601", None, "99999999999"], casts.to_int) == [
         12, None, None, 18, 601, None, None,
     ]
+    texts = ["+7", "-7", " 7 ", "\t7\n", "7-", "--7", "+", "", "７", "7e0", "0x7", "2147483647", "2147483648", "\x7f7", "1 2"]
+    assert apply(texts, casts.to_int) == apply(texts, lambda c: c.try_cast("int"))
     assert apply(["41.5", "x", None, "NaN", "-1e3"], casts.to_double)[:3] == [41.5, None, None]
 
 
@@ -104,8 +106,8 @@ def test_rates_of_nothing(spark):
 
 
 def test_usable_coordinates(apply):
-    values = [41.5, 0.0, float("nan"), None, -87.0, -0.0]
-    assert apply(values, usable, "double") == [True, False, False, False, True, False]
+    values = [41.5, 0.0, float("nan"), None, -87.0, -0.0, float("inf"), float("-inf")]
+    assert apply(values, usable, "double") == [True, False, False, False, True, False, False, False]
 
 
 def test_distance(spark):

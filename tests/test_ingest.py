@@ -60,6 +60,15 @@ def test_large_multiline_file_is_spread(spark, file, monkeypatch):
     assert raw.count() == 50
 
 
+def test_many_multiline_files_are_read_side_by_side(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("casebook.sources.csv.SPLIT_BYTES", 100)
+    for i in range(8):
+        (tmp_path / f"{i}.csv").write_text("A A,B-B,C.C\n" + '1,"x\ny",z\n' * 50)
+    raw = read_raw(spark, str(tmp_path), SIMPLE)
+    assert "Exchange" not in raw._jdf.queryExecution().executedPlan().toString()
+    assert raw.count() == 400
+
+
 def test_empty_rows_and_no_value_rows(spark, file):
     loaded = load_csv(spark, file("A A,B-B,C.C\n,,\nN/A,none,None\n"), SIMPLE)
     assert rows(loaded, "a_a", "b_b", "cc") == [(None, "none", None)]

@@ -1,9 +1,11 @@
+import os
 import uuid
 
 import duckdb
 import pytest
 
 from casebook.plans.job import input_paths, main, run
+from casebook.session import drop_scratch, scratch_folder, written
 from casebook.sinks.jdbc import JdbcTarget, write_table
 from casebook.sources.csv import MissingInput
 from incident_files import crimes_sql, write_files
@@ -171,3 +173,19 @@ def test_missing_inputs_stop_the_job(spark, tmp_path):
 def test_database_address_is_required(monkeypatch):
     monkeypatch.delenv("PG_URL", raising=False)
     assert main() == 1
+
+
+def test_scratch_can_be_dropped(spark, tmp_path, monkeypatch):
+    assert scratch_folder(spark).endswith(spark.sparkContext.applicationId)
+    monkeypatch.setattr("casebook.session.scratch_folder", lambda spark: f"file://{tmp_path}/scratch")
+    written(spark.range(3), "kept")
+    assert os.listdir(tmp_path) == ["scratch"]
+    drop_scratch(spark)
+    assert os.listdir(tmp_path) == []
+
+
+def test_preview_is_logged(spark, small, tmp_path, caplog):
+    write_files(small, str(tmp_path))
+    with caplog.at_level("INFO", logger="casebook"):
+        run(spark, input_paths(str(tmp_path)), lambda df, name: 1, preview=2)
+    assert sum(m.startswith("yearly_trends: Row(") for m in caplog.messages) == 2
