@@ -27,7 +27,8 @@ def table_name(name: str) -> str:
 def blank_to_null(text: Column) -> Column:
     """Trimmed text, or null when it only spells "no value" (P4). Trims spaces, not tabs."""
     trimmed = F.trim(text)
-    return F.when(~trimmed.isin(*NO_VALUE), trimmed)
+    # a loop over a constant array: a list of comparisons per column would outgrow what the JVM compiles
+    return F.when(~F.array_contains(F.array(*(F.lit(word) for word in NO_VALUE)), trimmed), trimmed)
 
 
 def upper_category(text: Column) -> Column:

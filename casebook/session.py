@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# The JVM compiles no method above this many bytes; Spark then generates smaller ones instead.
+COMPILED_METHOD_BYTES = "8000"
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
 def build_session(app_name: str = "casebook") -> SparkSession:
     """A session with the settings results depend on; sizing is left to spark-submit."""
     spark = (
@@ -16,12 +23,24 @@ def build_session(app_name: str = "casebook") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(METHOD_LIMIT, COMPILED_METHOD_BYTES)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("WARN")
     return spark
 
 
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """Keep wide projections compiled in whichever session the caller brought."""
+    before = spark.conf.get(METHOD_LIMIT)
+    spark.conf.set(METHOD_LIMIT, COMPILED_METHOD_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from casebook.functions.cleaning import blank_to_null, snake_case
 from casebook.functions.rates import ones
-from casebook.session import scratch_path
+from casebook.session import compiled_methods, scratch_path
 from casebook.sources.specs import DatasetSpec
 
 RAW_LINE = "_corrupt_record"
@@ -195,7 +195,8 @@ def load_csv(
     observation = Observation(f"{spec.name} profile")
     table = typed_rows(read_raw(spark, path, spec, strict_header=strict_header), spec, observation)
     stage = stage or scratch_path(spark, spec.name)
-    table.write.mode("overwrite").parquet(stage)
+    with compiled_methods(spark):
+        table.write.mode("overwrite").parquet(stage)
     staged = spark.read.schema(table.schema).parquet(stage)
     return Loaded(
         rows=staged.filter(F.col(ROW_STATE) == KEPT).drop(RAW_LINE, ROW_STATE),

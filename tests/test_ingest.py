@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from casebook.session import COMPILED_METHOD_BYTES, METHOD_LIMIT, compiled_methods
 from casebook.sources.csv import RAW_LINE, ROW_STATE, MissingInput, has_open_quotes, load_csv, read_raw, require_paths
 from casebook.sources.specs import ARRESTS, CRIMES, DATASETS, OFFENDERS, STATIONS, VIOLENCE, DatasetSpec
 
@@ -191,3 +192,14 @@ def test_states_are_staged(spark, file, tmp_path):
     load_csv(spark, file("A A,B-B,C.C\n,,\n1,2,3\n"), SIMPLE, stage=stage)
     states = spark.read.parquet(stage).groupBy(ROW_STATE).count().collect()
     assert {r[0]: r[1] for r in states} == {"all_null": 1, "kept": 1}
+
+
+def test_wide_files_are_staged_in_compiled_code(spark):
+    """The limit holds while the table is written, and the session's own setting comes back."""
+    before = spark.conf.get(METHOD_LIMIT)
+    with compiled_methods(spark):
+        assert spark.conf.get(METHOD_LIMIT) == COMPILED_METHOD_BYTES
+    assert spark.conf.get(METHOD_LIMIT) == before
+    with pytest.raises(ZeroDivisionError), compiled_methods(spark):
+        1 / 0
+    assert spark.conf.get(METHOD_LIMIT) == before

@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 import uuid
 
 import duckdb
@@ -189,3 +191,16 @@ def test_preview_is_logged(spark, small, tmp_path, caplog):
     with caplog.at_level("INFO", logger="casebook"):
         run(spark, input_paths(str(tmp_path)), lambda df, name: 1, preview=2)
     assert sum(m.startswith("yearly_trends: Row(") for m in caplog.messages) == 2
+
+
+def test_job_as_a_program_names_all_missing_files(tmp_path):
+    done = subprocess.run(
+        [sys.executable, "-m", "casebook"],
+        cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+        env={**os.environ, "DATA_DIR": str(tmp_path), "OUTPUT_DIR": str(tmp_path), "PG_URL": "jdbc:postgresql://nowhere/db"},
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert done.returncode == 1
+    assert all(path in done.stderr for path in input_paths(str(tmp_path)).values())
