@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 TIMESTAMP_PATTERN = "MM/dd/yyyy hh:mm:ss a"
 DATE_PATTERN = "MM/dd/yyyy"
 
-# Whatever can stand in no integer: a cheap test, as a failing cast costs an exception per row.
+# A failing cast costs an exception per row, so texts that cannot be numbers are told by a cheap test:
+# an integer holds nothing but these characters, and a double a digit or one of these words.
 _NOT_IN_INTEGER = r"[^0-9+\-\x00-\x20\x7f]"
+_IN_DOUBLE = r"(?i)[0-9]|inf|nan"
 
 
 def to_int(text: Column) -> Column:
@@ -18,7 +20,7 @@ def to_int(text: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
-    return text.try_cast("double")
+    return F.when(text.rlike(_IN_DOUBLE), text.try_cast("double"))
 
 
 def to_timestamp(text: Column, pattern: str = TIMESTAMP_PATTERN) -> Column:

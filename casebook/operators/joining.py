@@ -25,7 +25,7 @@ def byte_size(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, key: str) -> list:
-    """Keys that hold more than one shuffle partition's share of the rows.
+    """Keys that hold more than one shuffle partition's share of the rows; None stands for absent keys.
 
     A sketch finds them in one pass over the key column; at most ``HOT_KEYS`` values come back. A key
     listed or missed by mistake costs balance, never a row.
@@ -33,17 +33,16 @@ def hot_keys(df: DataFrame, key: str) -> list:
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = df.agg(
         F.count(F.lit(1)).alias("rows"),
+        F.count(key).alias("present"),
         F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {HOT_KEYS * 64})").alias("top"),
     ).first()
-    return [
-        entry["item"]
-        for entry in found["top"] or ()
-        if entry["item"] is not None and entry["count"] * partitions > found["rows"]
-    ]
+    counts = {entry["item"]: entry["count"] for entry in found["top"] or ()}
+    counts[None] = found["rows"] - found["present"]
+    return [item for item, count in counts.items() if count * partitions > found["rows"]]
 
 
 def salted_left_join(facts: DataFrame, side: DataFrame, fact_key: str, side_key: str) -> DataFrame:
-    """Left join by shuffle in which facts with a hot key spread over all partitions.
+    """Left join by shuffle in which facts with a hot key, or without one, spread over all partitions.
 
     The side's rows for those few keys are repeated once per salt; each fact has one salt and
     so meets each of them once. A salt follows the fact's place in its input split: copies of one
@@ -53,15 +52,14 @@ def salted_left_join(facts: DataFrame, side: DataFrame, fact_key: str, side_key:
     if not hot:
         return facts.join(side, F.col(fact_key) == F.col(side_key), "left")
     salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = [key for key in hot if key is not None]
+    place = (F.monotonically_increasing_id() % salts).cast("int")
     salted_facts = facts.withColumn(
-        "_salt",
-        F.when(F.col(fact_key).isin(hot), (F.monotonically_increasing_id() % salts).cast("int")).otherwise(F.lit(0)),
+        "_salt", F.when(F.col(fact_key).isNull() | F.col(fact_key).isin(values), place).otherwise(F.lit(0))
     )
+    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
     salted_side = side.withColumn(
-        "_side_salt",
-        F.explode(
-            F.when(F.col(side_key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
+        "_side_salt", F.explode(F.when(F.col(side_key).isin(values), all_salts).otherwise(F.array(F.lit(0))))
     )
     matches = (F.col(fact_key) == F.col(side_key)) & (F.col("_salt") == F.col("_side_salt"))
     return salted_facts.join(salted_side, matches, "left").drop("_salt", "_side_salt")

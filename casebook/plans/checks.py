@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from casebook.functions import casts
 from casebook.functions.cleaning import upper_category
 from casebook.functions.rates import ones
+from casebook.operators import hotspots as clusters
 from casebook.operators.correlation import keyed_correlation
 from casebook.operators.counting import (
     count_by,
@@ -28,7 +29,7 @@ from casebook.operators.counting import (
     row_profile,
 )
 from casebook.operators.distance import distance_by_key
-from casebook.operators.hotspots import Hotspots, cluster_profile, hotspots, valid_points
+from casebook.operators.hotspots import Hotspots, valid_points
 from casebook.operators.joining import attach_dimension, join_events
 from casebook.plans import reports
 from casebook.session import is_local, scratch_path, written
@@ -421,15 +422,15 @@ select label as cluster_id, count(*) as crime_count, round(avg(cast(embedding[1]
        round(sum(case when vec_id%7 in (0,1) then 1 else 0 end)*100e0/count(*),2) as violent_crime_pct
 from embeddings group by 1
 """)
-def labelled_cluster_profile(spark, sf_dir):
-    places = table(spark, sf_dir, "embeddings").select(
+def cluster_profile(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select(
         F.col("label").alias("cluster_id"),
         F.col("embedding")[0].cast("double").alias("lat"),
         F.col("embedding")[1].cast("double").alias("lon"),
         (F.col("vec_id") % 7).alias("kind"),
         F.lit(1).alias("weight"),
     )
-    return cluster_profile(places, "cluster_id", "lat", "lon", "kind", (0, 1))
+    return clusters.cluster_profile(vectors, "cluster_id", "lat", "lon", "kind", (0, 1))
 
 
 def part_hotspots(spark: SparkSession, sf_dir: str) -> Hotspots:
@@ -439,7 +440,7 @@ def part_hotspots(spark: SparkSession, sf_dir: str) -> Hotspots:
         F.col("p_size").cast("double").alias("latitude"),
         F.col("p_retailprice").alias("longitude"),
     )
-    found = hotspots(
+    found = clusters.hotspots(
         parts,
         keep=("p_partkey", "primary_type", "latitude", "longitude"),
         violent=("ECONOMY", "PROMO"),
@@ -575,12 +576,17 @@ def parse_timestamps(spark, sf_dir):
         F.date_format("ts", casts.DATE_PATTERN).alias("day"),
         F.when(F.col("event_type") == "error", F.date_format("ts", "yyyy")).otherwise("").alias("year"),
     )
-    moment = casts.to_timestamp(F.col("moment"))
-    return texts.select(
+    parsed = texts.select(
         "event_id",
-        moment.cast("timestamp_ntz").alias("parsed"),
+        casts.to_timestamp(F.col("moment")).alias("moment"),
         casts.to_day(F.col("day")).alias("day"),
-        casts.year_or_from(casts.to_int(F.col("year")), moment).alias("year"),
+        casts.to_int(F.col("year")).alias("year"),
+    )
+    return parsed.select(
+        "event_id",
+        F.col("moment").cast("timestamp_ntz").alias("parsed"),
+        "day",
+        casts.year_or_from(F.col("year"), F.col("moment")).alias("year"),
     )
 
 

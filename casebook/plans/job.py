@@ -80,14 +80,17 @@ def run(
 
 
 def main() -> int:
-    """Run with ``DATA_DIR``, ``OUTPUT_DIR``, ``PG_URL``, ``PG_USER`` and ``PREVIEW_ROWS`` from the environment."""
+    """Run with ``DATA_DIR``, ``OUTPUT_DIR``, ``PG_URL``, ``PG_USER``, ``JDBC_CONNECTIONS`` and ``PREVIEW_ROWS``
+    from the environment."""
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(message)s")
     try:
         url = os.environ["PG_URL"]
     except KeyError:
         log.error("set PG_URL to the JDBC address of the result database")
         return 1
-    target = JdbcTarget.postgres(url, os.environ.get("PG_USER", "postgres"))
+    connections = os.environ.get("JDBC_CONNECTIONS")
+    options = {"numPartitions": connections} if connections else {}
+    target = JdbcTarget.postgres(url, os.environ.get("PG_USER", "postgres"), **options)
 
     spark = build_session()
     output = os.environ.get("OUTPUT_DIR")

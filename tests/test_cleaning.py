@@ -46,6 +46,9 @@ def test_unreadable_numbers_are_null(apply):
     ]
     texts = ["+7", "-7", " 7 ", "\t7\n", "7-", "--7", "+", "", "７", "7e0", "0x7", "2147483647", "2147483648", "\x7f7", "1 2"]
     assert apply(texts, casts.to_int) == apply(texts, lambda c: c.try_cast("int"))
+    texts = ["1.5", "-.5", "5.", "1e3", "1E-3", " 2 ", "inf", "-Infinity", "+inf", "x", "n.a.", "", "1d", "2F", "0x1p3", ".", "-", None]
+    assert apply(texts, casts.to_double) == apply(texts, lambda c: c.try_cast("double"))
+    assert str(apply([" NaN ", "nan"], casts.to_double)) == str(apply([" NaN ", "nan"], lambda c: c.try_cast("double")))
     assert apply(["41.5", "x", None, "NaN", "-1e3"], casts.to_double)[:3] == [41.5, None, None]
 
 

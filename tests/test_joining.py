@@ -121,6 +121,22 @@ def test_hot_facts_spread_over_all_partitions(spark, skewed, dimension, no_broad
     assert len(spread) > 4 and max(r["count"] for r in spread) < 4000 / 3
 
 
+def test_facts_without_a_key_spread_and_stay(spark, dimension, no_broadcast):
+    keyless = spark.range(900).select(
+        "id", F.when(F.col("id") % 3 > 0, F.col("id") % 90).cast("int").alias("district")
+    )
+    assert hot_keys(keyless, "district") == [None]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = attach_dimension(keyless, dimension, "district", "k", {"name": "label"}, max_bytes=0)
+        spread = joined.filter("district is null").groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spread > 2
+    assert multiset(joined) == multiset(attach_dimension(keyless, dimension, "district", "k", {"name": "label"}))
+    assert joined.filter("district is null and label is null").count() == 300
+
+
 def test_even_keys_are_not_salted(spark, dimension, no_broadcast):
     even = spark.range(1000).select((F.col("id") % 90).cast("int").alias("district"))
     assert hot_keys(even, "district") == []
