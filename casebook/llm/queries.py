@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import decontamination, mixing, sharding
+from casebook.llm import decontamination, mixing, sharding, token_counts, token_files
 from casebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,24 @@ where 100 * shared_shingles >= 80 * item_shingles
 """
 
 
+def vocabulary(spark: SparkSession, name: str) -> str:
+    """Where a public tokenizer's file lies: below spark.casebook.tokenizers, or in the installed package."""
+    folder = spark.conf.get("spark.casebook.tokenizers", None)
+    if folder:
+        return f"{folder.rstrip('/')}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary(spark, "word_bpe_49k.json"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.tokenize_to_files(table(spark, sf_dir, "documents"), vocabulary(spark, "byte_bpe_50k.json"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents"))
 
@@ -77,6 +95,8 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op3_decontamination": op3_decontamination,
+    "op4_token_counts": op4_token_counts,
+    "op5_token_files": op5_token_files,
     "op6_sharding": op6_sharding,
 }
 ORACLE_SQL: dict[str, str] = {
