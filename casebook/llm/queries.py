@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import decontamination, mixing, sharding, token_counts, token_files
+from casebook.llm import decontamination, mixing, sharding, token_counts, token_files, toxicity
 from casebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,12 +92,17 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
     "op6_sharding": op6_sharding,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": OP1_SQL,
