@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import decontamination, mixing, sharding, token_counts, token_files, toxicity
+from casebook.llm import decontamination, jaccard_join, mixing, sharding, token_counts, token_files, toxicity
 from casebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -102,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
     "op6_sharding": op6_sharding,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {
