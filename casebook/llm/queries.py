@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import decontamination, jaccard_join, mixing, sharding, token_counts, token_files, toxicity
+from casebook.llm import decontamination, jaccard_join, mixing, secrets, sharding, token_counts, token_files, top_k, toxicity
 from casebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,26 @@ from copies
 """
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"))
+
+
+OP2_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),
+ranked as (
+  select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+  from scored)
+select * from ranked where rank <= 10
+"""
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -92,6 +112,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -102,14 +126,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
+    "op2_top_k": op2_top_k,
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
     "op6_sharding": op6_sharding,
+    "op8_secrets": op8_secrets,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": OP1_SQL,
+    "op2_top_k": OP2_SQL,
     "op3_decontamination": OP3_SQL,
 }
