@@ -47,8 +47,11 @@ def numbered_blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[
 ENTRY_SCHEMA = "bucket int, block long, docs binary, high binary, low binary"
 
 
-def entry_rows(block: int, values: np.ndarray, docs: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """A block's fingerprints by bucket: documents as steps of 16 bits, the lower 48 bits of each value."""
+def entry_rows(block: int, values: np.ndarray, docs: np.ndarray, buckets: int, exact: bool = True) -> pa.RecordBatch:
+    """A block's fingerprints by bucket: documents as steps of 16 bits, 48 bits of each value.
+
+    With ``exact`` off, for a search whose findings are compared in full later, 32 bits.
+    """
     bucket = (values % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     bucket, values, docs = bucket[order], values[order] & LOW, docs[order]
@@ -56,6 +59,7 @@ def entry_rows(block: int, values: np.ndarray, docs: np.ndarray, buckets: int) -
     steps = np.diff(docs, prepend=0)
     steps[firsts] = docs[firsts]
     steps, high, low = steps.astype("<u2"), (values >> np.uint64(16)).astype("<u4"), (values & np.uint64(0xFFFF)).astype("<u2")
+    low = low if exact else low[:0]
     ends = np.append(firsts[1:], len(bucket))
     cut = lambda a: pa.array([a[i:j].tobytes() for i, j in zip(firsts, ends, strict=True)], pa.binary())
     return pa.record_batch(
@@ -79,7 +83,9 @@ def shared_in_bucket(entries: pa.Table) -> pa.Table:
     steps = [np.frombuffer(b.as_py(), "<u2").astype(np.int64) for b in rows["docs"]]
     high = np.frombuffer(b"".join(b.as_py() for b in rows["high"]), "<u4").astype(np.uint64)
     low = np.frombuffer(b"".join(b.as_py() for b in rows["low"]), "<u2").astype(np.uint64)
-    values = high << np.uint64(16) | low
+    values = high << np.uint64(16)
+    if len(low):
+        values |= low
     order = np.argsort(values)
     ordered = values[order]
     firsts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(values) else np.zeros(0, np.int64)

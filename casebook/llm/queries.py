@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import decontamination, jaccard_join, mixing, secrets, sharding, token_counts, token_files, top_k, toxicity
+from casebook.llm import decontamination, jaccard_join, mixing, repeats, secrets, sharding, token_counts, token_files, top_k, toxicity
 from casebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +112,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -131,6 +135,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
     "op6_sharding": op6_sharding,
+    "op7_repeats": op7_repeats,
     "op8_secrets": op8_secrets,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
