@@ -121,25 +121,14 @@ def node_rows(percent: int):
     return compute
 
 
-def distance(shared: Column, left: Column, right: Column) -> Column:
-    return F.lit(1.0) - shared / (left + right - shared)
-
-
 def compared(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """pairs (left, right) with their distance and whether they are linked, exactly."""
+    """pairs (left, right), and whether they are linked, by their whole sets."""
     left = nodes.select(F.col("node").alias("left"), F.col("n").alias("n_left"), F.col("shared").alias("set_left"))
     right = nodes.select(F.col("node").alias("right"), F.col("n").alias("n_right"), F.col("shared").alias("set_right"))
     common = F.size(F.array_intersect("set_left", "set_right")).cast("long")
     both = pairs.join(right, "right").join(left, "left").select("left", "right", "n_left", "n_right", common.alias("common"))
-    return both.select(
-        "left", "right", distance(F.col("common"), F.col("n_left"), F.col("n_right")).alias("distance"),
-        (100 * F.col("common") >= percent * (F.col("n_left") + F.col("n_right") - F.col("common"))).alias("linked"),
-    )
-
-
-def near_in_size(a: Column, b: Column, percent: int) -> Column:
-    """Sets that are ``percent`` similar have sizes of at least that ratio."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    linked = 100 * F.col("common") >= percent * (F.col("n_left") + F.col("n_right") - F.col("common"))
+    return both.select("left", "right", linked.alias("linked"))
 
 
 def labelled(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -157,81 +146,168 @@ def salted(members: DataFrame) -> DataFrame:
 
 
 def open_regions(members: DataFrame, seed: int) -> DataFrame:
-    """Regions with members in several components: their pivot, and the component with most members' pivot.
+    """Regions with members in several components, and their pivot: the member with the least hash of the round.
 
-    The pivot is the member with the least hash, another one in each round.
+    Regions with nearly the same members mostly have the same pivot.
     """
-    order = F.struct(F.xxhash64(F.lit(seed), "node").alias("order"), F.col("node"), F.col("n"), F.col("component"))
+    order = F.struct(F.xxhash64(F.lit(seed), "node").alias("order"), "node", "n", "s", "component")
     return (
         members.groupBy("value")
         .agg(F.min(order).alias("pivot"), F.min("component").alias("least"), F.max("component").alias("most"),
-             F.max("parts").alias("parts"))
+             F.max("parts").alias("parts"), F.min("n").alias("least_n"))
         .filter("least < most")
         .select("value", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-                F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n"),
-                F.col("pivot.component").alias("pivot_component"))
+                F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n"), F.col("pivot.s").alias("pivot_s"),
+                F.col("pivot.component").alias("pivot_component"), "least_n")
     )
 
 
+def could_link(n_left: Column, s_left: Column, n_right: Column, s_right: Column, percent: int) -> Column:
+    """Whether sets of these sizes and numbers of shared shingles may be ``percent`` similar."""
+    most = F.least(s_left, s_right)
+    return 100 * most >= percent * (n_left + n_right - most)
+
+
 def links_between(nodes: DataFrame, percent: int, rounds: int = ROUNDS) -> DataFrame:
     """Links (left, right) that connect just those nodes which chains of all links connect.
 
     Every pair of linked nodes shares a value of both prefixes; the nodes of a value are a region. In each
     round every region takes a member as pivot, and every node of another component is compared
     with its nearest pivot, the one it shares most regions with: these are the Voronoi regions of the
-    round. Groups of thousands of near copies collapse into stars so. What is still apart is joined
-    pairwise where a region holds several components, if the triangle inequality lets it: two nodes
-    compared with the same pivot whose distances to it differ by more than the threshold have
-    no link.
+    round. Groups of thousands of near copies collapse into stars so. What is still apart is joined by
+    ``joined_cells``.
     """
-    members = nodes.select("node", "n", F.explode("prefix").alias("entry"))
-    members = written(salted(members.select("node", "n", "entry.value", "entry.count")), "members")
+    members = nodes.select("node", "n", F.size("shared").alias("s"), F.explode("prefix").alias("entry"))
+    members = written(salted(members.select("node", "n", "s", "entry.value", "entry.count")), "members")
     spark = nodes.sparkSession
     links = spark.createDataFrame([], "left long, right long")
-    known = spark.createDataFrame([], "left long, right long, distance double, linked boolean")
+    known = links
     for seed in range(rounds):
         current = written(labelled(members, links), "labelled-members") if seed else members.withColumn("component", F.col("node"))
         regions = open_regions(current, seed)
+        possible = could_link(F.col("n"), F.col("s"), F.col("pivot_n"), F.col("pivot_s"), percent)
         met = (
             current.join(regions, ["value", "part"])
-            .filter((F.col("component") != F.col("pivot_component")) & near_in_size(F.col("n"), F.col("pivot_n"), percent))
+            .filter((F.col("component") != F.col("pivot_component")) & possible)
             .groupBy("node", "pivot").count()
         )
         nearest = met.groupBy("node").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
         pairs = nearest.select(F.col("node").alias("left"), F.col("pivot").alias("right"))
         pairs = pairs.join(known, ["left", "right"], "left_anti")
         fresh = written(compared(pairs, nodes, percent), "pivots")
-        known = known.unionAll(fresh)
+        known = known.unionAll(fresh.select("left", "right"))
         links = written(links.unionAll(fresh.filter("linked").select("left", "right")), "links")
         if not fresh.take(1):
-            return links
+            break
     current = written(labelled(members, links), "labelled-members")
-    rest = current.join(open_regions(current, rounds).select("value").distinct(), "value", "left_semi")
-    sizes = rest.groupBy("value", "component").count()
+    return links.unionAll(joined_cells(current, nodes, percent, rounds))
+
+
+#: Nodes of either side that one task joins.
+CELL_NODES = 1_000
+CELL_SCHEMA = "left long, right long"
+
+
+def joined_cells(members: DataFrame, nodes: DataFrame, percent: int, seed: int) -> DataFrame:
+    """Links between components that meet in a region: the regions with one pivot are a cell, joined exactly.
+
+    One side of a cell are the members outside their region's largest component, if their sizes let
+    them have links at all; the other are all members, the boundary members of other cells among
+    them. Cells are joined in blocks of CELL_NODES by CELL_NODES, so that none is too large for a task.
+    """
+    regions = open_regions(members, seed)
+    inside = members.join(regions.drop("pivot_n", "pivot_s", "pivot_component"), ["value", "part"])
+    sizes = inside.groupBy("value", "component").count()
     main = sizes.groupBy("value").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    # one side without the region's largest component: pairs within that are never looked at
-    minor = rest.join(main, "value").filter("component != main")
-    left = minor.select("value", F.col("node").alias("left"), F.col("n").alias("n_left"), F.col("component").alias("c_left"))
-    right = rest.select("value", F.col("node").alias("right"), F.col("n").alias("n_right"), F.col("component").alias("c_right"))
-    pairs = (
-        left.join(right, "value")
-        .filter((F.col("c_left") != F.col("c_right")) & near_in_size(F.col("n_left"), F.col("n_right"), percent))
-        .select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right"))
-        .distinct()
+    main = main.join(regions.select("value", "part"), "value")
+    minor = inside.join(main, ["value", "part"]).filter("component != main").filter(
+        could_link(F.col("n"), F.col("s"), F.col("least_n"), F.col("s"), percent)
+    )
+    left = written(minor.select("pivot", "node", "value").distinct(), "cell-left")
+    asked = left.select("value").distinct()
+    asked = asked.join(regions.select("value", "part"), "value")
+    right = inside.join(asked, ["value", "part"], "left_semi").select("pivot", "node").distinct()
+    left = left.select("pivot", "node").distinct()
+    both = written(left.withColumn("side", F.lit(0)).unionAll(right.withColumn("side", F.lit(1))), "cells")
+    counts = both.groupBy("pivot").agg(
+        F.ceil(F.count_if(F.col("side") == 0) / CELL_NODES).alias("rows"), F.ceil(F.count_if(F.col("side") == 1) / CELL_NODES).alias("columns")
     )
-    # a node's distances to the pivots it met
-    met = written(known.select(F.col("left").alias("node"), F.col("right").alias("pivot"), "distance"), "distances")
-    apart = F.lit(1 - percent / 100 + ROUNDING)
-    first = met.select(F.col("node").alias("left"), "pivot", F.col("distance").alias("from_left"))
-    second = met.select(F.col("node").alias("right"), F.col("pivot").alias("pivot_right"), F.col("distance").alias("from_right"))
-    outside = (
-        pairs.join(first, "left").join(second, ["right"])
-        .filter((F.col("pivot") == F.col("pivot_right")) & (F.abs(F.col("from_left") - F.col("from_right")) > apart))
-        .select("left", "right").distinct()
+    pivots = counts.select("pivot", F.col("pivot").alias("node"), F.lit(2).alias("side"))
+    block = lambda count: F.pmod(F.xxhash64(F.lit("block"), "node"), F.col(count))
+    whole = lambda count: F.sequence(F.lit(0).cast("long"), F.col(count) - 1)
+    # a node meets all blocks of the other side, the pivot all blocks of both
+    placed = (
+        both.unionAll(pivots).join(counts, "pivot")
+        .withColumn("row", F.explode(F.when(F.col("side") == 0, F.array(block("rows"))).otherwise(whole("rows"))))
+        .withColumn("column", F.explode(F.when(F.col("side") == 1, F.array(block("columns"))).otherwise(whole("columns"))))
+        .select("pivot", "row", "column", "node", "side")
     )
-    pairs = pairs.join(outside, ["left", "right"], "left_anti")
-    fresh = written(compared(pairs, nodes, percent), "rest")
-    return links.unionAll(fresh.filter("linked").select("left", "right"))
+    components_of = members.select(F.col("node").alias("of_node"), "component").distinct()
+    sets = nodes.select(F.col("node").alias("of_node"), "n", "shared").join(components_of, "of_node")
+    filled = placed.join(sets, F.col("node") == F.col("of_node")).drop("of_node")
+    return filled.groupBy("pivot", "row", "column").applyInArrow(join_cell(percent), CELL_SCHEMA)
+
+
+def join_cell(percent: int):
+    """All links between components of one block of a cell, one for each node and component."""
+
+    def compute(rows: pa.Table) -> pa.Table:
+        side = rows["side"].to_numpy()
+        n, component, node = (rows[name].to_numpy() for name in ("n", "component", "node"))
+        sets = rows["shared"].combine_chunks()
+        bounds = sets.offsets.to_numpy()
+        values = sets.values.to_numpy()[bounds[0] : bounds[-1]]
+        bounds = bounds - bounds[0]
+        _, columns = np.unique(values, return_inverse=True)
+        owner = np.repeat(np.arange(len(node)), np.diff(bounds))
+        pivot = np.flatnonzero(side == 2)[0]
+        of_pivot = np.isin(columns, columns[bounds[pivot] : bounds[pivot + 1]])
+        common = np.bincount(owner[of_pivot], minlength=len(node))
+        apart = 1 - common / (n + n[pivot] - common)
+        order = np.argsort(apart, kind="stable")
+        left, right = order[side[order] == 0], order[side[order] == 1]
+        out: list[tuple[int, int]] = []
+        window = 1 - percent / 100 + ROUNDING
+        for start in range(0, len(left), 128):
+            some = left[start : start + 128]
+            # the triangle inequality over the pivot leaves these
+            low, high = np.searchsorted(apart[right], [apart[some[0]] - window, apart[some[-1]] + window + ROUNDING])
+            near = right[low:high]
+            if not len(near):
+                continue
+            shared_by = intersections(some, near, columns, bounds)
+            linked = 100 * shared_by >= percent * (n[some][:, None] + n[near][None, :] - shared_by)
+            linked &= component[some][:, None] != component[near][None, :]
+            for i, j in zip(*np.nonzero(linked), strict=True):
+                out.append((node[some[i]], node[near[j]], component[near[j]]))
+        # one link of a node to a component does
+        found = {(a, c): (a, b) for a, b, c in out}
+        columns_out = list(zip(*found.values(), strict=True)) or [(), ()]
+        return pa.table([pa.array(list(c), pa.int64()) for c in columns_out], names=["left", "right"])
+
+    return compute
+
+
+def intersections(some: np.ndarray, near: np.ndarray, columns: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many elements each pair of rows has in common, as a product of 0-1 matrices in parts."""
+    take = lambda rows: np.concatenate([columns[bounds[r] : bounds[r + 1]] for r in rows])
+    own, theirs = take(some), take(near)
+    names = np.intersect1d(own, theirs)
+    own_row = np.repeat(np.arange(len(some)), np.diff(bounds)[some])
+    their_row = np.repeat(np.arange(len(near)), np.diff(bounds)[near])
+    total = np.zeros((len(some), len(near)), np.float32)
+    for start in range(0, len(names), 4096):
+        part = names[start : start + 4096]
+        matrices = []
+        for rows, elements, height in ((own_row, own, len(some)), (their_row, theirs, len(near))):
+            inside = (elements >= part[0]) & (elements <= part[-1])
+            at = np.searchsorted(part, elements[inside])
+            hit = part[at] == elements[inside]
+            matrix = np.zeros((height, len(part)), np.float32)
+            matrix[rows[inside][hit], at[hit]] = 1
+            matrices.append(matrix)
+        total += matrices[0] @ matrices[1].T
+    return total.astype(np.int64)
 
 
 def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
@@ -245,7 +321,7 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, rou
     2. Documents with one set of shingles become one node (the first of them in the input).
     3. A node without enough shared shingles for any link is done. The others are put into regions
        by their rarest shared shingles, as many as a link cannot avoid.
-    4. Regions are joined by pivots, in rounds, and what remains in pairs (``links_between``).
+    4. Regions are joined by pivots, in rounds, and what remains in cells around them (``links_between``).
     5. Links make components, and every document gets the least doc_id of its component.
 
     Nothing of this is gathered in one place, and groups of copies are one node or one star.

@@ -17,8 +17,10 @@ from casebook.llm.token_counts import tokenizer
 from casebook.session import scratch_path
 
 #: Bytes of text encoded at a time, and distinct pieces a task remembers before it starts anew.
-BLOCK_BYTES = 16 << 20
-KEPT_PIECES = 1_000_000
+BLOCK_BYTES = 4 << 20
+KEPT_PIECES = 500_000
+#: Pieces handed to the library at a time; what it returns for them is large.
+CALL_PIECES = 20_000
 #: Row groups small enough to skip, pages with few rows, and dictionary codes for the ids, which
 #: come from a vocabulary that fits one dictionary page.
 FORMAT = {
@@ -68,8 +70,12 @@ class PieceIds:
         self.bounds = np.zeros(1 << 16, dtype=np.int64)
 
     def add(self, new: list[bytes]) -> None:
+        for i in range(0, len(new), CALL_PIECES):
+            self.add_some(new[i : i + CALL_PIECES])
+
+    def add_some(self, new: list[bytes]) -> None:
         known = len(self.index)
-        encoded = tokenizer(self.path).encode_batch([c.decode() for c in new], add_special_tokens=False)
+        encoded = tokenizer(self.path).encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
         ids = [e.ids for e in encoded]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         while len(self.bounds) < known + len(new) + 1:
