@@ -50,25 +50,47 @@ def gram_hashes(body: np.ndarray) -> np.ndarray:
     return unsigned_mix(values)
 
 
-def window_values(body: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For every string of LENGTH bytes within a text: its place, its text, the least hash of its grams; and all grams' hashes.
+#: Bytes hashed at a time, few enough for the arrays to stay in a core's cache.
+CACHED_BYTES = 1 << 17
+
+
+def window_values(body: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every string of LENGTH bytes within a text: its place, its text, the least hash of its grams.
 
     Equal strings have equal values, wherever they stand; neighbours mostly share theirs.
     """
     sizes = np.maximum(np.diff(bounds) - (LENGTH - 1), 0)
     upto = np.concatenate([[0], np.cumsum(sizes)])
-    if not upto[-1]:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    grams = gram_hashes(body)
-    least, width = grams, 1
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(upto[-1]) + (bounds[:-1] - upto[:-1])[doc]
+    value = np.zeros(len(place), np.uint64)
+    for start in range(0, len(body), CACHED_BYTES):
+        a, b = np.searchsorted(place, [start, start + CACHED_BYTES])
+        if b > a:
+            value[a:b] = least_grams(body[start : start + CACHED_BYTES + LENGTH - 1])[place[a:b] - start]
+    return place, doc, value
+
+
+def least_grams(body: np.ndarray) -> np.ndarray:
+    """The least hash of the GRAMS grams from each place on."""
+    least, width = gram_hashes(body), 1
     while width * 2 <= GRAMS:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
-    if rest := GRAMS - width:
-        least = np.minimum(least[:-rest], least[rest:])
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    place = np.arange(upto[-1]) + (bounds[:-1] - upto[:-1])[doc]
-    return place, doc, least[place], grams
+    rest = GRAMS - width
+    return np.minimum(least[:-rest], least[rest:]) if rest else least
+
+
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+
+
+def window_hashes(text: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A hash of the LENGTH bytes from each place on, from sums of powers."""
+    up, down = np.full(len(text), BASE), np.full(len(text), INVERSE)
+    up[:1] = down[:1] = 1
+    sums = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum(BYTE_VALUES[text] * np.cumprod(up), out=sums[1:])
+    return unsigned_mix((sums[places + LENGTH] - sums[places]) * np.cumprod(down)[places])
 
 
 def runs(place: np.ndarray, doc: np.ndarray, value: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +109,7 @@ def text_values(buckets: int):
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, block in numbered_blocks(batches, "text"):
-            place, doc, value, _ = window_values(*byte_column(block.column(1)))
+            place, doc, value = window_values(*byte_column(block.column(1)))
             first, _ = runs(place, doc, value)
             doc, value = doc[first], value[first]
             # each value of a document once
@@ -171,7 +193,7 @@ def segments(buckets: int):
             block, body, bounds, doc_ids = texts_of(texts)
             ids = doc_ids.fill_null(int(NO_ID)).to_numpy()
             of_doc, wanted, counts = unpacked(packed)
-            place, doc, value, grams = window_values(body, bounds)
+            place, doc, value = window_values(body, bounds)
             first, last = runs(place, doc, value)
             named = (value[first] % np.uint64(buckets)) << np.uint64(LOW_BITS)
             named |= (value[first] & np.uint64((1 << LOW_BITS) - 1)) >> np.uint64(16) << np.uint64(16)
@@ -193,8 +215,7 @@ def segments(buckets: int):
             bucket = (value[begin] % np.uint64(buckets)).astype(np.int64)
             if hot.any():
                 single = np.concatenate([np.arange(first[i], last[i] + 1) for i in np.flatnonzero(hot)])
-                p = place[single]
-                mixed = unsigned_mix(grams[p] * BASE + unsigned_mix(grams[p + (LENGTH - GRAM) // 2]) * BASE + grams[p + LENGTH - GRAM])
+                mixed = window_hashes(body, place[single])
                 begin = np.concatenate([begin, single])
                 windows = np.concatenate([windows, np.ones(len(single), np.int64)])
                 bucket = np.concatenate([bucket, (mixed % np.uint64(buckets)).astype(np.int64)])
@@ -226,6 +247,40 @@ def segments(buckets: int):
     return compute
 
 
+def met_by_others(contents: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows (segment, offset) whose hash other segments with other ids have too: only these need comparing."""
+    text = np.frombuffer(b"".join(contents), np.uint8)
+    sizes = np.fromiter(map(len, contents), np.int64, len(contents))
+    counts = sizes - (LENGTH - 1)
+    segment = np.repeat(np.arange(len(contents)), counts)
+    offset = np.arange(len(segment)) - np.repeat(np.cumsum(counts) - counts, counts)
+    hashes = window_hashes(text, (np.cumsum(sizes) - sizes)[segment] + offset)
+    order = np.argsort(hashes)
+    ordered, of_window = hashes[order], ids[segment[order]]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    differs = np.minimum.reduceat(of_window, first) < np.maximum.reduceat(of_window, first)
+    met = np.zeros(len(segment), bool)
+    met[order] = np.repeat(differs, np.diff(np.append(first, len(order))))
+    return segment[met], offset[met]
+
+
+def repeated_windows(pieces: list[bytes], ids: np.ndarray, shard_bytes: int) -> np.ndarray:
+    """Which windows of the pieces, piece after piece, equal a window of a piece with a smaller id."""
+    if not pieces:
+        return np.zeros(0, np.int64)
+    upto = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+    shard_of = (upto - 1) // shard_bytes
+    limits = np.searchsorted(shard_of, np.arange(int(shard_of[-1]) + 2))
+    parts = [(a, b) for a, b in zip(limits[:-1], limits[1:], strict=True) if b > a]
+    shards = [pieces[a:b] for a, b in parts]
+    found = [window_groups(shard, ids[a:b]) for shard, (a, b) in zip(shards, parts, strict=True)]
+    least = [f[2] for f in found]
+    merged_least(shards, [f[1] for f in found], least)
+    known = np.concatenate([low[f[0]] for low, f in zip(least, found, strict=True)])
+    counts = [len(p) - (LENGTH - 1) for p in pieces]
+    return np.flatnonzero(known < np.repeat(ids, counts))
+
+
 def window_groups(contents: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Suffix-array groups of the equal windows of one shard of segments.
 
@@ -288,21 +343,11 @@ def compare(buckets: int, shard_bytes: int):
         out = [(block[repeated], doc[repeated], start[repeated], (start + sizes)[repeated])]
         # one copy of each content stands for all, under its least id
         _, firsts = np.unique(group, return_index=True)
-        distinct = [contents[i] for i in firsts]
-        upto = np.cumsum(sizes[firsts])
-        shard_of = (upto - 1) // shard_bytes
-        limits = np.searchsorted(shard_of, np.arange(int(shard_of[-1]) + 2))
-        parts = [(a, b) for a, b in zip(limits[:-1], limits[1:], strict=True) if b > a]
-        shards = [distinct[a:b] for a, b in parts]
-        found = [window_groups(shard, least_of[a:b]) for shard, (a, b) in zip(shards, parts, strict=True)]
-        least = [f[2] for f in found]
-        merged_least(shards, [f[1] for f in found], least)
-        counts = sizes[firsts] - (LENGTH - 1)
-        window_segment = np.repeat(np.arange(len(distinct)), counts)
-        known = np.concatenate([low[f[0]] for low, f in zip(least, found, strict=True)])
-        flagged = np.flatnonzero(known < least_of[window_segment])
-        segment = window_segment[flagged]
-        offset = flagged - (np.cumsum(counts) - counts)[segment]
+        segment, offset = met_by_others([contents[i] for i in firsts], least_of)
+        a, b = runs(offset, segment, segment)
+        pieces = [contents[firsts[i]][x : y + LENGTH] for i, x, y in zip(segment[a], offset[a], offset[b], strict=True)]
+        flagged = repeated_windows(pieces, least_of[segment[a]], shard_bytes)
+        segment, offset = segment[flagged], offset[flagged]
         a, b = runs(offset, segment, segment)
         run_segment, run_from, run_to = segment[a], offset[a], offset[b] + LENGTH
         # to all places of the content that were not repeats themselves
@@ -355,9 +400,9 @@ def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
        alone are dropped, exactly: a repeated window has a value of several documents.
     2. The other windows go as segments of text to the bucket of their value, where equal windows meet.
        Equal segments are one, under the least id, so copies by the thousand are one text.
-    3. Each bucket's segments make shards of ``shard_bytes`` with a suffix array each (Larsson and Sadakane's
-       refinement), common prefixes by Kasai's walk give groups of equal windows with their least
-       ids, and shards are merged by binary search of one's groups in another's.
+    3. Windows of a bucket whose hash different segments have make shards of ``shard_bytes`` with a suffix
+       array each (Larsson and Sadakane's refinement); common prefixes by Kasai's walk give groups of equal windows with their least
+       ids; shards are merged by binary search of one's groups in another's.
     4. The runs found go back to the texts' blocks, where what is left is put together.
 
     Texts are UTF-8 bytes. Nothing is gathered beyond one bucket or one block of texts, and all moves
