@@ -8,14 +8,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import decontamination, mixing
+from casebook.llm import decontamination, jaccard_join, mixing, token_files, toxicity
 from casebook.llm.common import table
-from casebook.llm.queries import TARGETS
+from casebook.llm.queries import TARGETS, vocabulary
 from casebook.session import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents not predicted toxic by a model of the labels table."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the least doc_id."""
+    return jaccard_join.one_of_each(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no item of the benchmark table."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
@@ -26,13 +36,28 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, TARGETS).select(*docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("decontaminate", decontaminated), ("mix", mixed)]
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 of every document, read from the token files written."""
+    return token_files.tokenize_to_files(docs, vocabulary(spark, "byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", without_toxic),
+    ("near-duplicates", one_of_each),
+    ("decontamination", decontaminated),
+    ("mixing", mixed),
+    ("token-files", tokenized),
+]
 #: Toxicity is learned and tokens are encoded by a library, which SQL can't express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each one's rows are written and read again by the next."""
+    """All stages over documents; each one's rows are written and read again by the next.
+
+    Nulls, empty texts and repeated rows are kept or told by the rules of each operator; further
+    columns of documents pass through all stages but the last; an empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
