@@ -9,18 +9,20 @@ from pyspark.sql import functions as F
 TIMESTAMP_PATTERN = "MM/dd/yyyy hh:mm:ss a"
 DATE_PATTERN = "MM/dd/yyyy"
 
-# A failing cast costs an exception per row, so texts that cannot be numbers are told by a cheap test:
-# an integer holds nothing but these characters, and a double a digit or one of these words.
-_NOT_IN_INTEGER = r"[^0-9+\-\x00-\x20\x7f]"
-_IN_DOUBLE = r"(?i)[0-9]|inf|nan"
+# A failing cast costs an exception per row, so only texts that are numbers are cast: digits with a sign, and
+# for doubles a point, an exponent, a type letter or one of the words, with blanks and control characters around.
+# Only a whole number beyond an integer's range still fails in the cast.
+_BLANK = r"[\x00-\x20\x7f]*"
+_INTEGER = rf"\A{_BLANK}[+-]?[0-9]+{_BLANK}\z"
+_DOUBLE = rf"(?i)\A{_BLANK}[+-]?(?:0x[0-9a-f]*\.?[0-9a-f]*p[+-]?[0-9]+[fd]?|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?[fd]?|inf|infinity|nan){_BLANK}\z"
 
 
 def to_int(text: Column) -> Column:
-    return F.when(~text.rlike(_NOT_IN_INTEGER), text.try_cast("int"))
+    return F.when(text.rlike(_INTEGER), text.try_cast("int"))
 
 
 def to_double(text: Column) -> Column:
-    return F.when(text.rlike(_IN_DOUBLE), text.try_cast("double"))
+    return F.when(text.rlike(_DOUBLE), text.try_cast("double"))
 
 
 def to_timestamp(text: Column, pattern: str = TIMESTAMP_PATTERN) -> Column:

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
+from casebook.session import written
+
 # The most a hinted side may hold; every executor keeps a copy in memory.
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 64
 
 
 def byte_size(df: DataFrame) -> int:
@@ -24,43 +25,42 @@ def byte_size(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(sum(sizes, F.lit(0))), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def hot_keys(df: DataFrame, key: str) -> list:
-    """Keys that hold more than one shuffle partition's share of the rows; None stands for absent keys.
+def hot_keys(facts: DataFrame, key: str) -> DataFrame:
+    """_key, _rows, _shares: keys with more than one shuffle partition's share of the rows, counted exactly.
 
-    A sketch finds them in one pass over the key column; at most ``HOT_KEYS`` values come back. A key
-    listed or missed by mistake costs balance, never a row.
+    There are never more of them than partitions; a null key counts like another.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(key).alias("present"),
-        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {HOT_KEYS * 64})").alias("top"),
-    ).first()
-    counts = {entry["item"]: entry["count"] for entry in found["top"] or ()}
-    counts[None] = found["rows"] - found["present"]
-    return [item for item, count in counts.items() if count * partitions > found["rows"]]
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(facts.count() / partitions, 1)
+    counts = facts.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter(F.col("_rows") > share).withColumn("_shares", F.ceil(F.col("_rows") / share))
 
 
 def salted_left_join(facts: DataFrame, side: DataFrame, fact_key: str, side_key: str) -> DataFrame:
-    """Left join by shuffle in which facts with a hot key, or without one, spread over all partitions.
-
-    The side's rows for those few keys are repeated once per salt; each fact has one salt and
-    so meets each of them once. A salt follows the fact's place in its input split: copies of one
-    row spread too, and a scan that is run again gives the same salts.
+    """Left join by shuffle in which facts with a hot key, or without one, spread over several tasks.
+
+    A key is hot when it has more than one shuffle partition's share of the facts; there are never more of
+    these than partitions, and both sides learn them by a join with that small table. A hot key has as
+    many salts as it has shares, and a side's rows of it are repeated once for each; but never so often
+    that these copies would outnumber the facts of the key. A fact's salt is a hash of the
+    whole row, the same in every rerun; copies of one row share it, so where the plan below could give
+    rows in another order nothing depends on that.
     """
-    hot = hot_keys(facts, fact_key)
-    if not hot:
+    hot = written(hot_keys(facts, fact_key), "hot-keys")
+    if hot.isEmpty():
         return facts.join(side, F.col(fact_key) == F.col(side_key), "left")
-    salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    values = [key for key in hot if key is not None]
-    place = (F.monotonically_increasing_id() % salts).cast("int")
-    salted_facts = facts.withColumn(
-        "_salt", F.when(F.col(fact_key).isNull() | F.col(fact_key).isin(values), place).otherwise(F.lit(0))
-    )
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_side = side.withColumn(
-        "_side_salt", F.explode(F.when(F.col(side_key).isin(values), all_salts).otherwise(F.array(F.lit(0))))
-    )
+    inside = side.join(F.broadcast(hot), F.col(side_key) == F.col("_key"), "left_semi")
+    copies = inside.groupBy(F.col(side_key).alias("_side")).agg(F.count(F.lit(1)).alias("_copies"))
+    affordable = F.floor(F.col("_rows") / F.coalesce("_copies", F.lit(1)))
+    salts = F.greatest(F.least("_shares", affordable), F.lit(1)).cast("int")
+    # as many rows as there are hot keys, at most one for each shuffle partition
+    hot = written(hot.join(copies, F.col("_key") == F.col("_side"), "left").select("_key", salts.alias("_salts")), "salts")
+    facts = facts.join(F.broadcast(hot), F.col(fact_key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    row = F.xxhash64(*[c for c in facts.columns if c != "_salts"])
+    salted_facts = facts.withColumn("_salt", F.coalesce(F.pmod(row, F.col("_salts")), F.lit(0)).cast("int")).drop("_salts")
+    sided = side.join(F.broadcast(hot), F.col(side_key) == F.col("_key"), "left").drop("_key")
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    salted_side = sided.withColumn("_side_salt", each).drop("_salts")
     matches = (F.col(fact_key) == F.col(side_key)) & (F.col("_salt") == F.col("_side_salt"))
     return salted_facts.join(salted_side, matches, "left").drop("_salt", "_side_salt")
 

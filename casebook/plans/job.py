@@ -89,8 +89,8 @@ def main() -> int:
         log.error("set PG_URL to the JDBC address of the result database")
         return 1
     connections = os.environ.get("JDBC_CONNECTIONS")
-    options = {"numPartitions": connections} if connections else {}
-    target = JdbcTarget.postgres(url, os.environ.get("PG_USER", "postgres"), **options)
+    bound = int(connections) if connections else None
+    target = JdbcTarget.postgres(url, os.environ.get("PG_USER", "postgres"), bound)
 
     spark = build_session()
     output = os.environ.get("OUTPUT_DIR")
@@ -103,11 +103,11 @@ def main() -> int:
             lambda df, name: write_table(df, name, target),
             preview=int(os.environ.get("PREVIEW_ROWS", "0")),
         )
-        drop_scratch(spark)
     except MissingInput as error:
         log.error("%s", error)
         return 1
     finally:
+        drop_scratch(spark)
         spark.stop()
     return 0
 

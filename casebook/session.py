@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -42,7 +43,8 @@ def compiled_methods(spark: SparkSession) -> Iterator[None]:
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """Whether all tasks run in this process; ``local-cluster`` has executors of its own."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -75,11 +77,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Remove this application's intermediate tables; results read from them are gone too."""
+    """Remove this application's intermediate tables; results read from them are gone too.
+
+    ``load_csv`` and ``written`` leave tables that their results read; who calls them calls this, or
+    works within ``scratch``, when the results are no longer needed.
+    """
     folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the application's intermediate tables at the end, also when the work fails."""
+    try:
+        yield
+    finally:
+        drop_scratch(spark)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, nothing is recomputed."""
     spark = df.sparkSession

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from math import ceil
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,11 +15,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 from casebook.functions.cleaning import blank_to_null, snake_case
 from casebook.functions.rates import ones
 from casebook.session import compiled_methods, scratch_path
+from casebook.sources.records import quote_scan, records
 from casebook.sources.specs import DatasetSpec
 
 RAW_LINE = "_corrupt_record"
 ROW_STATE = "_row_state"
-SPLIT_BYTES = 128 * 1024 * 1024
 KEPT, ALL_NULL, MISSING_REQUIRED = "kept", "all_null", "missing_required"
 
 
@@ -41,49 +41,34 @@ def require_paths(spark: SparkSession, paths: Iterable[str]) -> None:
         raise MissingInput("input not found: " + ", ".join(absent))
 
 
-def has_open_quotes(spark: SparkSession, path: str) -> bool:
-    """Whether some line ends inside a quoted field.
-
-    Such a line holds an odd number of quote characters (an escaped quote is doubled), so a
-    parallel scan of the lines tells if the file must be read whole. It stops at the first hit.
-    """
-    lines = spark.read.text(path)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not lines.filter(quotes % 2 == 1).isEmpty()
-
-
 def read_raw(spark: SparkSession, path: str, spec: DatasetSpec, *, strict_header: bool = False) -> DataFrame:
     """The file as text columns plus ``_corrupt_record`` holding the raw line of a malformed row.
 
-    A file with line breaks inside quotes can only be parsed by one task per file; its rows are
-    then spread over as many partitions as a splittable file of that size would have.
+    Files are read line by line, in splits. Those in which a line ends inside quotes are told by a scan
+    of the lines, each file for itself, and their records put together from numbered lines.
     """
-    multiline = has_open_quotes(spark, path) if spec.multiline is None else spec.multiline
-    schema = StructType([StructField(name, StringType()) for name in (*spec.headers, RAW_LINE)])
-    raw = (
-        spark.read.schema(schema)
-        .options(
-            header=spec.has_header,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=RAW_LINE,
-            quote='"',
-            escape='"',
-            multiLine=multiline,
-            enforceSchema=not strict_header,
-            # a parser that skips unread columns would also skip their defects
-            columnPruning=False,
-        )
-        .csv(path)
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": RAW_LINE,
+        "quote": '"',
+        "escape": '"',
+    }
+    reader = (
+        spark.read.schema(StructType([StructField(name, StringType()) for name in (*spec.headers, RAW_LINE)]))
+        .options(**options)
+        # a parser that skips unread columns would also skip their defects
+        .options(header=spec.has_header, enforceSchema=not strict_header, columnPruning=False)
     )
-    return _spread(spark, raw, path) if multiline else raw
-
-
-def _spread(spark: SparkSession, raw: DataFrame, path: str) -> DataFrame:
-    """Spread rows that few tasks parse; enough files keep the cluster busy by themselves."""
-    files = spark.read.format("binaryFile").load(path).agg(F.count("length"), F.sum("length")).first()
-    wanted = ceil((files[1] or 0) / SPLIT_BYTES)
-    few = files[0] < min(wanted, spark.sparkContext.defaultParallelism)
-    return raw.repartition(wanted) if few else raw
+    quotes = quote_scan(spark, path)
+    opened = [unquote(file) for file, odd in quotes.items() if odd]
+    if not opened:
+        return reader.csv(path)
+    if strict_header and spec.has_header:
+        for file in opened:
+            reader.csv(file).take(1)
+    found = records(spark, opened, spec.headers, spec.breaks, RAW_LINE, has_header=spec.has_header, options=options)
+    closed = [unquote(file) for file, odd in quotes.items() if not odd]
+    return reader.csv(closed).unionAll(found) if closed else found
 
 
 def clean_columns(raw: DataFrame, skip: Sequence[str] = ()) -> DataFrame:

@@ -24,7 +24,7 @@ class DatasetSpec:
     ``reads``       the text column a conversion reads, where that is not its own name
     ``derived``     column name -> expression over the typed columns
     ``required``    a row lacking one of these is dropped
-    ``multiline``   whether quoted fields hold line breaks; None looks into the file
+    ``breaks``      headers of the columns whose quoted fields may hold line breaks; None for all
     """
 
     name: str
@@ -34,7 +34,7 @@ class DatasetSpec:
     reads: Mapping[str, str] = field(default_factory=dict)
     derived: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
     required: tuple[str, ...] = ()
-    multiline: bool | None = None
+    breaks: tuple[str, ...] | None = None
     has_header: bool = True
 
     @property
@@ -70,6 +70,7 @@ CRIMES = DatasetSpec(
         "day_of_week": lambda: F.dayofweek("date"),
     },
     required=("case_number", "district"),
+    breaks=(),
 )
 
 ARRESTS = DatasetSpec(
@@ -77,11 +78,15 @@ ARRESTS = DatasetSpec(
     file_name="arrests.csv",
     headers=(
         "CB_NO", "CASE NUMBER", "ARREST DATE", "RACE",
-        *(f"CHARGE {n} {part}" for n in range(1, 5) for part in ("STATUTE", "DESCRIPTION", "TYPE", "CLASS")),
-        *(f"CHARGES {part}" for part in ("STATUTE", "DESCRIPTION", "TYPE", "CLASS")),
+        "CHARGE 1 STATUTE", "CHARGE 1 DESCRIPTION", "CHARGE 1 TYPE", "CHARGE 1 CLASS",
+        "CHARGE 2 STATUTE", "CHARGE 2 DESCRIPTION", "CHARGE 2 TYPE", "CHARGE 2 CLASS",
+        "CHARGE 3 STATUTE", "CHARGE 3 DESCRIPTION", "CHARGE 3 TYPE", "CHARGE 3 CLASS",
+        "CHARGE 4 STATUTE", "CHARGE 4 DESCRIPTION", "CHARGE 4 TYPE", "CHARGE 4 CLASS",
+        "CHARGES STATUTE", "CHARGES DESCRIPTION", "CHARGES TYPE", "CHARGES CLASS",
     ),
     conversions={"arrest_date": casts.to_timestamp, "race": upper_category},
     required=("case_number",),
+    breaks=(),
 )
 
 STATIONS = DatasetSpec(
@@ -96,7 +101,7 @@ STATIONS = DatasetSpec(
         **_all(casts.to_double, "x_coordinate", "y_coordinate", "latitude", "longitude"),
     },
     reads={"district_clean": "district"},
-    multiline=True,
+    breaks=("ADDRESS", "LOCATION"),
 )
 
 VIOLENCE = DatasetSpec(
@@ -123,6 +128,7 @@ VIOLENCE = DatasetSpec(
         **_all(casts.to_double, "latitude", "longitude"),
     },
     required=("case_number", "district"),
+    breaks=(),
 )
 
 OFFENDERS = DatasetSpec(

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from casebook.session import COMPILED_METHOD_BYTES, METHOD_LIMIT, compiled_methods
-from casebook.sources.csv import RAW_LINE, ROW_STATE, MissingInput, has_open_quotes, load_csv, read_raw, require_paths
+from casebook.sources.csv import RAW_LINE, ROW_STATE, MissingInput, load_csv, require_paths
+from casebook.sources.records import quote_scan
 from casebook.sources.specs import ARRESTS, CRIMES, DATASETS, OFFENDERS, STATIONS, VIOLENCE, DatasetSpec
 
 SIMPLE = DatasetSpec("simple", "simple.csv", ("A A", "B-B", "C.C"))
@@ -32,7 +33,7 @@ def test_widths_of_the_datasets():
 
 def test_quotes_and_line_breaks(spark, file):
     path = file('A A,B-B,C.C\n1,"12 Example Ave\n","he said ""hi"""\n2,"a,b",c\n')
-    assert has_open_quotes(spark, path)
+    assert sum(quote_scan(spark, path).values()) == 2
     loaded = load_csv(spark, path, SIMPLE)
     assert loaded.rows.columns == ["a_a", "b_b", "cc"]
     assert rows(loaded, "a_a", "b_b", "cc") == [("1", "12 Example Ave\n", 'he said "hi"'), ("2", "a,b", "c")]
@@ -40,34 +41,50 @@ def test_quotes_and_line_breaks(spark, file):
 
 def test_closed_quotes_keep_the_file_splittable(spark, file):
     path = file('A A,B-B,C.C\n1,"he said ""hi""","x,y"\n')
-    assert not has_open_quotes(spark, path)
+    assert sum(quote_scan(spark, path).values()) == 0
     assert rows(load_csv(spark, path, SIMPLE), "b_b", "cc") == [('he said "hi"', "x,y")]
 
 
-def test_both_parsers_agree_where_no_line_is_open(spark, file):
-    path = file('A A,B-B,C.C\n1,"x",\n,,\n2,5"9\' 6"1,z\n" 3 ",N/A,"q ""w"" e"\n')
-    parsed = [
-        rows(load_csv(spark, path, DatasetSpec("simple", "simple.csv", SIMPLE.headers, multiline=m)), "a_a", "b_b", "cc")
-        for m in (None, True, False)
-    ]
-    assert parsed[0] == parsed[1] == parsed[2]
+def test_line_and_record_parsing_agree(spark, file):
+    """The same rows, once in a file of single lines and once beside a record over two lines."""
+    text = 'A A,B-B,C.C\n1,"x",\n,,\n2,5"9\' 6"1,z\n" 3 ",N/A,"q ""w"" e"\n'
+    plain = rows(load_csv(spark, file(text), SIMPLE), "a_a", "b_b", "cc")
+    beside = rows(load_csv(spark, file(text + '4,"x\ny",z\n', "broken.csv"), SIMPLE), "a_a", "b_b", "cc")
+    assert beside == sorted([*plain, ("4", "x\ny", "z")], key=repr)
 
 
-def test_large_multiline_file_is_spread(spark, file, monkeypatch):
-    monkeypatch.setattr("casebook.sources.csv.SPLIT_BYTES", 100)
-    path = file("A A,B-B,C.C\n" + '1,"x\ny",z\n' * 50)
-    raw = read_raw(spark, path, SIMPLE)
-    assert raw.rdd.getNumPartitions() == 6
-    assert raw.count() == 50
+def test_unclosed_quote_swallows_nothing(spark, file):
+    body = [f"{i},b{i},x" for i in range(1, 1001)]
+    body[499] = '500,"5 in pipe,x'
+    loaded = load_csv(spark, file("A A,B-B,C.C\n" + "\n".join(body) + "\n"), SIMPLE)
+    assert loaded.profile["rows_in"] == loaded.profile["kept"] == 1000
+    assert [r[0] for r in loaded.malformed.select(RAW_LINE).collect()] == ['500,"5 in pipe,x']
+    assert {r[0] for r in loaded.rows.select("a_a").collect()} == {str(i) for i in range(1, 1001)}
 
 
-def test_many_multiline_files_are_read_side_by_side(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("casebook.sources.csv.SPLIT_BYTES", 100)
-    for i in range(8):
-        (tmp_path / f"{i}.csv").write_text("A A,B-B,C.C\n" + '1,"x\ny",z\n' * 50)
-    raw = read_raw(spark, str(tmp_path), SIMPLE)
-    assert "Exchange" not in raw._jdf.queryExecution().executedPlan().toString()
-    assert raw.count() == 400
+def test_unclosed_quotes_between_records_over_lines(spark, file):
+    path = file('A A,B-B,C.C\n1,"a\n\nb",x\n2,"5 in,x\n3,c,y\n4,"d\ne",z\n5,f,"g\n6,"h",i\n7,"j\n')
+    loaded = load_csv(spark, path, SIMPLE)
+    found = {r[0]: r[1] for r in loaded.rows.select("a_a", "b_b").collect()}
+    assert set(found) == {"1", "2", "3", "4", "5", "6", "7"}
+    assert found["1"] == "a\n\nb" and found["4"] == "d\ne" and found["6"] == "h"
+    assert {r[0] for r in loaded.malformed.select(RAW_LINE).collect()} == {'2,"5 in,x', '5,f,"g', '7,"j'}
+
+
+def test_breaks_only_in_declared_columns(spark, file):
+    path = file('A A,B-B,C.C\n1,"a\nb",x\n2,c,"d\ne"\n')
+    spec = DatasetSpec("simple", "simple.csv", SIMPLE.headers, breaks=("B-B",))
+    loaded = load_csv(spark, path, spec)
+    assert {r[0] for r in loaded.malformed.select(RAW_LINE).collect()} == {'2,c,"d', 'e"'}
+    assert ("1", "a\nb") in {tuple(r) for r in loaded.rows.select("a_a", "b_b").collect()}
+
+
+def test_files_are_judged_one_by_one(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text("A A,B-B,C.C\n" + f"{i},y,z\n" * 20)
+    (tmp_path / "open.csv").write_text('A A,B-B,C.C\n9,"x\ny",z\n8,"unclosed,z\n7,a,b\n')
+    loaded = load_csv(spark, str(tmp_path), SIMPLE)
+    assert loaded.profile["kept"] == 63 and loaded.profile["malformed"] == 1
 
 
 def test_empty_rows_and_no_value_rows(spark, file):
