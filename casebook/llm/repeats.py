@@ -169,6 +169,8 @@ def told_apart(contents: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.n
 
 def removal_rows(block: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[tuple[int, bytes]]:
     """Removed runs, packed by block."""
+    if not len(block):
+        return []
     order = np.lexsort((start, doc, block))
     block, doc, start, end = block[order], doc[order], start[order], end[order]
     first = np.flatnonzero(np.diff(block, prepend=-1))
@@ -233,7 +235,7 @@ def segments(buckets: int):
             order = np.flatnonzero(~repeated)
             order = order[np.argsort(bucket[order], kind="stable")]
             cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-            for a, b in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
+            for a, b in zip(cuts, [*cuts[1:], len(order)], strict=False):
                 part = order[a:b]
                 columns = {
                     "doc": doc[part].astype(np.int32), "doc_id": ids[doc[part]], "start": within_doc[part].astype(np.int32),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +20,11 @@ from casebook.session import scratch_path
 
 #: Bytes of text encoded at a time, and distinct pieces a task remembers before it starts anew.
 BLOCK_BYTES = 4 << 20
-KEPT_PIECES = 500_000
+KEPT_PIECES = 800_000
 #: Pieces handed to the library at a time; what it returns for them is large.
 CALL_PIECES = 20_000
+#: Text that one task encodes and writes to one file: the more, the fewer pieces are encoded twice.
+FILE_BYTES = 64 << 20
 #: Row groups small enough to skip, pages with few rows, and dictionary codes for the ids, which
 #: come from a vocabulary that fits one dictionary page.
 FORMAT = {
@@ -34,15 +38,18 @@ FORMAT = {
 
 #: White space other than blanks and line ends between words, beginnings of special tokens, and
 #: runs of white space: texts with these are not cut by the short way.
+WHITE = (b"", b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 ODD = [b"  ", b"\n\n", b" \n", b"\n ", b"\t", b"\r", b"\x0b", b"\x0c"]
 WIDE = re.compile(
     rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\xef\xbb\xbf"
 )
+CUT = re.compile(rb"(?<=[A-Za-z0-9])(?=[,.;:!?%&$*#()])")
 CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+\Z")
 
 
 def chunks_of(data: bytes) -> list[bytes]:
-    """A text cut where the tokenizer never joins: before white space that follows other characters.
+    """A text cut where the tokenizer never joins: before white space that follows other characters, and
+    between a letter or digit and a mark that is no apostrophe, which may begin a contraction.
 
     A text in which wider white space or a special token might stand is one chunk.
     """
@@ -52,9 +59,19 @@ def chunks_of(data: bytes) -> list[bytes]:
         return [data]
     if any(odd in data for odd in ODD) or data[:1] in b" \n" or data[-1:] in b" \n":
         return CHUNK.findall(data)
-    words = data.replace(b"\n", b" \n").split(b" ")
-    # a line end opens its own word; every other word but the first follows a blank
-    return [words[0], *(w if w[:1] == b"\n" else b" " + w for w in words[1:])]
+    # 0xff is in no UTF-8 text
+    marked = data.replace(b" ", b"\xff ").replace(b"\n", b"\xff\n")
+    return CUT.sub(b"\xff", marked).split(b"\xff")
+
+
+@functools.cache
+def begins_with_blank(path: str) -> np.ndarray:
+    """Which ids begin with a blank, by the vocabulary's sign for it."""
+    loaded = tokenizer(path)
+    flags = np.zeros(loaded.get_vocab_size() + 1, dtype=bool)
+    for token, number in loaded.get_vocab().items():
+        flags[number] = token[:1] == "\u0120"
+    return flags
 
 
 class PieceIds:
@@ -74,19 +91,30 @@ class PieceIds:
             self.add_some(new[i : i + CALL_PIECES])
 
     def add_some(self, new: list[bytes]) -> None:
-        known = len(self.index)
+        """Words after one blank are encoded as one text, and told apart by the tokens that begin with it."""
+        plain, rest = [], []
+        for c in new:
+            single = c[:1] == b" " and c.rfind(b" ") == 0 and c[1:2] not in WHITE and c.find(b"<|") < 0
+            (plain if single else rest).append(c)
+        ids = np.array(tokenizer(self.path).encode(b"".join(plain).decode(), add_special_tokens=False).ids, np.int32)
+        first = np.flatnonzero(begins_with_blank(self.path)[ids]) if len(ids) else np.zeros(0, np.int64)
+        if len(first) == len(plain):
+            self.store(plain, ids, np.diff(np.append(first, len(ids))))
+            new = rest
         encoded = tokenizer(self.path).encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-        ids = [e.ids for e in encoded]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        lists = [e.ids for e in encoded]
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.store(new, np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum())), lengths)
+
+    def store(self, new: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
+        known = len(self.index)
         while len(self.bounds) < known + len(new) + 1:
             self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
         used = self.bounds[known]
-        np.cumsum(lengths, out=self.bounds[known + 1 : known + len(new) + 1])
-        self.bounds[known + 1 : known + len(new) + 1] += used
-        end = self.bounds[known + len(new)]
-        while len(self.flat) < end:
+        self.bounds[known + 1 : known + len(new) + 1] = used + np.cumsum(lengths)
+        while len(self.flat) < used + len(ids):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[used:end] = np.fromiter((i for one in ids for i in one), np.int32, int(end - used))
+        self.flat[used : used + len(ids)] = ids
         self.index.update(zip(new, range(known, known + len(new)), strict=True))
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,10 +123,11 @@ class PieceIds:
             self.reset()
         cut = [chunks_of(t) for t in texts]
         chunks = [c for one in cut for c in one]
-        new = [c for c in dict.fromkeys(chunks) if c not in self.index]
-        if new:
-            self.add(new)
-        at = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        at = np.fromiter(map(self.index.get, chunks, repeat(-1)), np.int64, len(chunks))
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            self.add(list(dict.fromkeys(chunks[i] for i in unknown)))
+            at[unknown] = [self.index[chunks[i]] for i in unknown]
         starts = self.bounds[at]
         lengths = self.bounds[at + 1] - starts
         upto = np.concatenate([[0], np.cumsum(lengths)])
@@ -138,10 +167,12 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, target: str) -> None:
     column in dictionary codes. Small row groups and pages with column indexes let readers take the
     metadata, or the documents of a range of doc_id, without reading other ids.
     """
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(1, -(-size // FILE_BYTES))
     tie = F.md5(whole_text()).alias("tie")
     ordered = (
         docs.select("doc_id", whole_text().alias("text"), tie)
-        .repartitionByRange("doc_id", "tie")
+        .repartitionByRange(files, "doc_id", "tie")
         .sortWithinPartitions("doc_id", "tie")
         .select("doc_id", "text")
     )
