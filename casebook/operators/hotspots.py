@@ -16,8 +16,9 @@ from casebook.functions.geo import usable
 from casebook.functions.rates import ones, percent
 from casebook.session import written
 
-# Categories that count as violent.
+# Categories that count as violent, and the settings of the clustering.
 VIOLENT = ("HOMICIDE", "ASSAULT", "BATTERY", "ROBBERY")
+CLUSTERS, SEED, ITERATIONS, INIT_STEPS = 10, 42, 100, 10
 
 POINTS_PER_TASK = 100_000
 
@@ -117,13 +118,15 @@ def hotspots(
     lon: str = "longitude",
     category: str = "primary_type",
     violent: Sequence = VIOLENT,
-    k: int = 10,
-    seed: int = 42,
+    k: int = CLUSTERS,
+    seed: int = SEED,
 ) -> Hotspots | None:
     """Cluster rows by place; None when there are fewer valid rows than clusters (A10).
 
     The rows are read once to count them per place. Every iteration then runs over the weighted
-    places, which gives the centres that the single rows would give: each row pulls equally.
+    places, in which each row pulls equally. The objective is that of the single rows; the centres are a
+    local optimum of it, which need not be the one a fit over single rows ends in, as the
+    initial centres are drawn among places. Infinite coordinates are no places either.
     Places are hash-partitioned by their own number and sorted, so neither the layout of the input,
     the size of the cluster nor a recomputed partition changes the result.
     """
@@ -145,7 +148,7 @@ def hotspots(
     assemble = VectorAssembler(inputCols=["_lat_z", "_lon_z"], outputCol="_features")
     # the block solver fails where initialisation finds fewer centres than k
     cluster = KMeans(
-        k=k, seed=seed, maxIter=100, initSteps=10, solver="row",
+        k=k, seed=seed, maxIter=ITERATIONS, initSteps=INIT_STEPS, solver="row",
         featuresCol="_features", predictionCol="cluster_id", weightCol="weight",
     )
     model = Pipeline(stages=[standardise, assemble, cluster]).fit(points)

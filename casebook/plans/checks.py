@@ -450,16 +450,6 @@ def part_hotspots(spark: SparkSession, sf_dir: str) -> Hotspots:
     return found
 
 
-@check()
-def kmeans_assign(spark, sf_dir):
-    return part_hotspots(spark, sf_dir).assigned
-
-
-@check()
-def kmeans_hotspots(spark, sf_dir):
-    return part_hotspots(spark, sf_dir).profile
-
-
 @check("""
 select count(*) as rows_valid, count(*) as rows_assigned, count(*) as rows_profiled,
        cast(0 as bigint) as not_nearest, cast(0 as bigint) as off_centre

@@ -44,6 +44,7 @@ def crime_trends(counts: DataFrame) -> Tables:
         )
         return table.orderBy(*keys)
 
+    # Fixed values here and in the functions below: names of the result tables.
     return {
         "yearly_trends": trend("year", rate="arrest_rate_pct"),
         "monthly_trends": trend("month"),
