@@ -20,11 +20,11 @@ from casebook.session import scratch_path
 
 #: Bytes of text encoded at a time, and distinct pieces a task remembers before it starts anew.
 BLOCK_BYTES = 4 << 20
-KEPT_PIECES = 800_000
+KEPT_PIECES = 1_500_000
 #: Pieces handed to the library at a time; what it returns for them is large.
 CALL_PIECES = 20_000
 #: Text that one task encodes and writes to one file: the more, the fewer pieces are encoded twice.
-FILE_BYTES = 64 << 20
+FILE_BYTES = 80 << 20
 #: Row groups small enough to skip, pages with few rows, and dictionary codes for the ids, which
 #: come from a vocabulary that fits one dictionary page.
 FORMAT = {
@@ -43,13 +43,15 @@ ODD = [b"  ", b"\n\n", b" \n", b"\n ", b"\t", b"\r", b"\x0b", b"\x0c"]
 WIDE = re.compile(
     rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\xef\xbb\xbf"
 )
-CUT = re.compile(rb"(?<=[A-Za-z0-9])(?=[,.;:!?%&$*#()])")
+#: Between a letter or digit and marks that are no apostrophe, which may begin a contraction, tokens end too.
+MARKS = b",.;:!?%&$*#()"
+#: A byte of no UTF-8 text: between chunks, and as the chunk that stands for the end of a document.
+MARK = b"\xff"
 CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+\Z")
 
 
 def chunks_of(data: bytes) -> list[bytes]:
-    """A text cut where the tokenizer never joins: before white space that follows other characters, and
-    between a letter or digit and a mark that is no apostrophe, which may begin a contraction.
+    """A text cut where the tokenizer never joins: before white space that follows other characters.
 
     A text in which wider white space or a special token might stand is one chunk.
     """
@@ -59,9 +61,7 @@ def chunks_of(data: bytes) -> list[bytes]:
         return [data]
     if any(odd in data for odd in ODD) or data[:1] in b" \n" or data[-1:] in b" \n":
         return CHUNK.findall(data)
-    # 0xff is in no UTF-8 text
-    marked = data.replace(b" ", b"\xff ").replace(b"\n", b"\xff\n")
-    return CUT.sub(b"\xff", marked).split(b"\xff")
+    return data.replace(b" ", MARK + b" ").replace(b"\n", MARK + b"\n").split(MARK)
 
 
 @functools.cache
@@ -87,8 +87,40 @@ class PieceIds:
         self.bounds = np.zeros(1 << 16, dtype=np.int64)
 
     def add(self, new: list[bytes]) -> None:
-        for i in range(0, len(new), CALL_PIECES):
-            self.add_some(new[i : i + CALL_PIECES])
+        """Words with marks after them are put together from the ids of both; all else is encoded."""
+        simple: dict[bytes, None] = {}
+        compound, stems, tails = [], [], []
+        for chunk in new:
+            stem = chunk.rstrip(MARKS)
+            if len(stem) != len(chunk) and stem[-1:].isalnum() and b"<|" not in chunk:
+                tail = chunk[len(stem) :]
+                compound.append(chunk)
+                stems.append(stem)
+                tails.append(tail)
+                if stem not in self.index:
+                    simple[stem] = None
+                if tail not in self.index:
+                    simple[tail] = None
+            elif chunk not in self.index:
+                simple[chunk] = None
+        missing = list(simple)
+        for i in range(0, len(missing), CALL_PIECES):
+            self.add_some(missing[i : i + CALL_PIECES])
+        if compound:
+            pairs = np.empty(2 * len(compound), np.int64)
+            pairs[0::2] = [self.index[s] for s in stems]
+            pairs[1::2] = [self.index[t] for t in tails]
+            ids, bounds = self.gathered(pairs)
+            self.store(compound, ids, np.diff(bounds[0::2]))
+
+    def gathered(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces with these numbers in a row, and where each begins and ends."""
+        starts = self.bounds[at]
+        lengths = self.bounds[at + 1] - starts
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        source = np.repeat((starts - upto[:-1]).astype(np.int32), lengths)
+        source += np.arange(upto[-1], dtype=np.int32)
+        return self.flat[source], upto
 
     def add_some(self, new: list[bytes]) -> None:
         """Words after one blank are encoded as one text, and told apart by the tokens that begin with it."""
@@ -121,23 +153,19 @@ class PieceIds:
         """Ids of all texts in a row, each followed by ``end_id``, and the bounds of the texts."""
         if len(self.index) > KEPT_PIECES:
             self.reset()
-        cut = [chunks_of(t) for t in texts]
-        chunks = [c for one in cut for c in one]
+        if MARK not in self.index:
+            self.store([MARK], np.array([end_id], np.int32), np.ones(1, np.int64))
+        cut = [[*chunks_of(t), MARK] for t in texts]
+        chunks = list(chain.from_iterable(cut))
         at = np.fromiter(map(self.index.get, chunks, repeat(-1)), np.int64, len(chunks))
         unknown = np.flatnonzero(at < 0)
         if len(unknown):
-            self.add(list(dict.fromkeys(chunks[i] for i in unknown)))
-            at[unknown] = [self.index[chunks[i]] for i in unknown]
-        starts = self.bounds[at]
-        lengths = self.bounds[at + 1] - starts
-        upto = np.concatenate([[0], np.cumsum(lengths)])
+            named = [chunks[i] for i in unknown]
+            self.add(list(dict.fromkeys(named)))
+            at[unknown] = np.fromiter(map(self.index.__getitem__, named), np.int64, len(named))
+        ids, upto = self.gathered(at)
         of_text = np.concatenate([[0], np.cumsum([len(one) for one in cut])]).astype(np.int64)
-        source = np.repeat(starts - upto[:-1], lengths)
-        source += np.arange(upto[-1])
-        ids = self.flat[source]
-        bounds = upto[of_text]
-        ended = np.insert(ids, bounds[1:], np.int32(end_id))
-        return ended, bounds + np.arange(len(bounds))
+        return ids, upto[of_text]
 
 
 def encoder(path: str, end_id: int):
