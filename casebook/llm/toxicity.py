@@ -287,7 +287,7 @@ def feature_batches(lexicon: dict[str, float]):
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from at most SAMPLE_ROWS labelled rows outside the held-out fold.
 
-    Without labels of both kinds all scores are the share of toxic ones, or 0.
+    Without labels of both kinds, or words that tell them apart, nothing is learned and all scores are 0.
     """
     sample = labelled_sample(docs, labels)
     lexicon = learn_lexicon(sample)
@@ -295,9 +295,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     found = rows.toArrow()
     y = found.column("toxic").to_numpy().astype(float)
     if not lexicon or len(set(y)) < 2:
-        share = float(y.mean()) if len(y) else 0.0
-        base = math.log(max(share, 1e-9) / max(1 - share, 1e-9))
-        return Model({}, np.zeros(N_FEATURES), np.ones(N_FEATURES), np.array([base] + [0.0] * N_FEATURES))
+        return Model({}, np.zeros(N_FEATURES), np.ones(N_FEATURES), np.array([-30.0] + [0.0] * N_FEATURES))
     x = np.array(found.column("x").to_pylist())
     return Model(lexicon, *logistic(x, y))
 

@@ -169,7 +169,7 @@ def test_large_group_of_near_copies(spark, tmp_path, monkeypatch, rounds):
     result = jaccard_join.near_duplicates(spark.read.parquet(str(tmp_path / "d")), rounds=rounds)
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in result.collect()}
     expected = brute_components(texts)
-    assert 1 < len({c for _, c in expected.values()}) < 100
+    assert 10 < len({c for _, c in expected.values()}) < 150
     assert found == expected
 
 
@@ -250,9 +250,9 @@ def test_network_finds_what_rules_leave(spark):
     key = lambda n: "".join(random.choice("0123456789abcdef") for _ in range(n))
     digits = lambda n: "".join(random.choice("0123456789") for _ in range(n))
     rows = [(i, f"some words token = {key(32)} and number {digits(16)} end") for i in range(400)]
-    rows += [(1000, f"tokens = {key(22).upper()} here"), (1001, f"number {digits(18)} end")]
+    rows += [(1000, f"some words tokens = {key(22)} and number here"), (1001, f"number {digits(18)} end")]
     found = {r.doc_id: r for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert found[1000].n_model == 1 and found[1000].spans.startswith("model:9:31")
+    assert found[1000].n_model == 1 and found[1000].spans.startswith("model:20:42")
     assert found[1001].n_model == 0 and sum(r.n_model for r in found.values()) < 10
     assert all(found[i].n_assign == 1 for i in range(400))
 
