@@ -6,7 +6,7 @@ import functools
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,20 +36,38 @@ FORMAT = {
     "parquet.dictionary.page.size": str(1 << 20),
 }
 
-#: White space other than blanks and line ends between words, beginnings of special tokens, and
-#: runs of white space: texts with these are not cut by the short way.
-WHITE = (b"", b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
-ODD = [b"  ", b"\n\n", b" \n", b"\n ", b"\t", b"\r", b"\x0b", b"\x0c"]
-WIDE = re.compile(
-    rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\xef\xbb\xbf"
-)
 #: Between a letter or digit and marks that are no apostrophe, which may begin a contraction, tokens end too.
 MARKS = b",.;:!?%&$*#()"
 #: A byte of no UTF-8 text: between chunks, and as the chunk that stands for the end of a document.
 MARK = b"\xff"
+#: How wider white space may begin, and what it is.
+WIDE_LEADS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe1\xa0", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80", b"\xef\xbb")
+CONTROLS = (b"\x1c", b"\x1d", b"\x1e", b"\x1f")
+WIDE = re.compile(
+    rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\xef\xbb\xbf"
+)
 CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+\Z")
 
 
+def may_be_wide(data: bytes) -> bool:
+    for control in CONTROLS:
+        if control in data:
+            return True
+    if not data.isascii():
+        for lead in WIDE_LEADS:
+            if lead in data:
+                return True
+    return False
+
+
+def is_even(data: bytes) -> bool:
+    """Whether all white space is single blanks and line ends between words."""
+    return not (
+        b"  " in data or b"\n\n" in data or b" \n" in data or b"\n " in data or b"\t" in data or b"\r" in data
+        or b"\x0b" in data or b"\x0c" in data or data[:1] in b" \n" or data[-1:] in b" \n"
+    )
+
+
 def chunks_of(data: bytes) -> list[bytes]:
     """A text cut where the tokenizer never joins: before white space that follows other characters.
 
@@ -57,11 +75,11 @@ def chunks_of(data: bytes) -> list[bytes]:
     """
     if not data:
         return []
-    if b"<|" in data or (not data.isascii() or any(c in data for c in (b"\x1c", b"\x1d", b"\x1e", b"\x1f"))) and WIDE.search(data):
+    if b"<|" in data or may_be_wide(data) and WIDE.search(data):
         return [data]
-    if any(odd in data for odd in ODD) or data[:1] in b" \n" or data[-1:] in b" \n":
-        return CHUNK.findall(data)
-    return data.replace(b" ", MARK + b" ").replace(b"\n", MARK + b"\n").split(MARK)
+    if is_even(data):
+        return data.replace(b" ", MARK + b" ").replace(b"\n", MARK + b"\n").split(MARK)
+    return CHUNK.findall(data)
 
 
 @functools.cache
@@ -74,107 +92,111 @@ def begins_with_blank(path: str) -> np.ndarray:
     return flags
 
 
+class Numbers(dict):
+    """Numbers of chunks, given in the order in which they are first asked for."""
+
+    def __init__(self):
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, chunk: bytes) -> int:
+        number = self[chunk] = len(self)
+        self.fresh.append(chunk)
+        return number
+
+
 class PieceIds:
     """Ids of the distinct chunks met so far, each encoded once by the library."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, end_id: int):
+        self.path, self.end_id = path, end_id
         self.reset()
 
     def reset(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 16, dtype=np.int32)
-        self.bounds = np.zeros(1 << 16, dtype=np.int64)
-
-    def add(self, new: list[bytes]) -> None:
-        """Words with marks after them are put together from the ids of both; all else is encoded."""
-        simple: dict[bytes, None] = {}
-        compound, stems, tails = [], [], []
-        for chunk in new:
-            stem = chunk.rstrip(MARKS)
-            if len(stem) != len(chunk) and stem[-1:].isalnum() and b"<|" not in chunk:
-                tail = chunk[len(stem) :]
-                compound.append(chunk)
-                stems.append(stem)
-                tails.append(tail)
-                if stem not in self.index:
-                    simple[stem] = None
-                if tail not in self.index:
-                    simple[tail] = None
-            elif chunk not in self.index:
-                simple[chunk] = None
-        missing = list(simple)
-        for i in range(0, len(missing), CALL_PIECES):
-            self.add_some(missing[i : i + CALL_PIECES])
-        if compound:
-            pairs = np.empty(2 * len(compound), np.int64)
-            pairs[0::2] = [self.index[s] for s in stems]
-            pairs[1::2] = [self.index[t] for t in tails]
-            ids, bounds = self.gathered(pairs)
-            self.store(compound, ids, np.diff(bounds[0::2]))
+        self.numbers = Numbers()
+        self.flat, self.used = np.zeros(1 << 16, dtype=np.int32), 0
+        self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.numbers[MARK] = 0
+        self.place(np.zeros(1, np.int64), np.array([self.end_id], np.int32), np.ones(1, np.int64))
+
+    def place(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Keep the ids of the chunks with these numbers."""
+        while len(self.starts) < len(self.numbers):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+        while len(self.flat) < self.used + len(ids):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts[numbers] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[numbers] = lengths
+        self.used += len(ids)
+
+    def add(self, new: list[bytes], number: int) -> None:
+        """Ids of new chunks, numbered from ``number`` on: words with marks after them are put together from both."""
+        stems = [c.rstrip(MARKS) for c in new]
+        split = np.fromiter((len(s) < len(c) and s[-1:].isalnum() for s, c in zip(stems, new, strict=True)), bool, len(new))
+        compound = np.flatnonzero(split)
+        pairs = np.empty(2 * len(compound), np.int64)
+        number_of = self.numbers.__getitem__
+        pairs[0::2] = np.fromiter((number_of(stems[i]) for i in compound), np.int64, len(compound))
+        pairs[1::2] = np.fromiter((number_of(new[i][len(stems[i]) :]) for i in compound), np.int64, len(compound))
+        parts, self.numbers.fresh = self.numbers.fresh, []
+        simple = np.flatnonzero(~split)
+        self.encode_all([new[i] for i in simple], number + simple)
+        self.encode_all(parts, len(self.numbers) - len(parts) + np.arange(len(parts)))
+        ids, upto = self.gathered(pairs)
+        self.place(number + compound, ids, np.diff(upto[0::2]))
+
+    def encode_all(self, new: list[bytes], numbers: np.ndarray) -> None:
+        """Encode chunks by the library.
+
+        Those whose only blank is their first byte are encoded as one text, and told apart by the tokens
+        that begin with a blank: each has one at least, so as many as there are chunks leave no doubt.
+        """
+        library = tokenizer(self.path)
+        for i in range(0, len(new), CALL_PIECES):
+            part, named = new[i : i + CALL_PIECES], numbers[i : i + CALL_PIECES]
+            plain = np.fromiter((c.rfind(b" ") == 0 for c in part), bool, len(part))
+            words = [c for c in part if c.rfind(b" ") == 0]
+            ids = np.array(library.encode(b"".join(words).decode(), add_special_tokens=False).ids, np.int32)
+            first = np.flatnonzero(begins_with_blank(self.path)[ids]) if len(ids) else np.zeros(0, np.int64)
+            if len(first) == len(words):
+                self.place(named[plain], ids, np.diff(np.append(first, len(ids))))
+            else:
+                plain[:] = False
+            rest = np.flatnonzero(~plain)
+            encoded = library.encode_batch_fast([part[j].decode() for j in rest], add_special_tokens=False)
+            lists = [e.ids for e in encoded]
+            lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+            self.place(named[rest], np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum())), lengths)
 
     def gathered(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pieces with these numbers in a row, and where each begins and ends."""
-        starts = self.bounds[at]
-        lengths = self.bounds[at + 1] - starts
+        """Ids of the chunks with these numbers in a row, and where each begins and ends."""
+        starts, lengths = self.starts[at], self.lengths[at]
         upto = np.concatenate([[0], np.cumsum(lengths)])
         source = np.repeat((starts - upto[:-1]).astype(np.int32), lengths)
         source += np.arange(upto[-1], dtype=np.int32)
         return self.flat[source], upto
 
-    def add_some(self, new: list[bytes]) -> None:
-        """Words after one blank are encoded as one text, and told apart by the tokens that begin with it."""
-        plain, rest = [], []
-        for c in new:
-            single = c[:1] == b" " and c.rfind(b" ") == 0 and c[1:2] not in WHITE and c.find(b"<|") < 0
-            (plain if single else rest).append(c)
-        ids = np.array(tokenizer(self.path).encode(b"".join(plain).decode(), add_special_tokens=False).ids, np.int32)
-        first = np.flatnonzero(begins_with_blank(self.path)[ids]) if len(ids) else np.zeros(0, np.int64)
-        if len(first) == len(plain):
-            self.store(plain, ids, np.diff(np.append(first, len(ids))))
-            new = rest
-        encoded = tokenizer(self.path).encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-        lists = [e.ids for e in encoded]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        self.store(new, np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum())), lengths)
-
-    def store(self, new: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
-        known = len(self.index)
-        while len(self.bounds) < known + len(new) + 1:
-            self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
-        used = self.bounds[known]
-        self.bounds[known + 1 : known + len(new) + 1] = used + np.cumsum(lengths)
-        while len(self.flat) < used + len(ids):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[used : used + len(ids)] = ids
-        self.index.update(zip(new, range(known, known + len(new)), strict=True))
-
-    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, each followed by ``end_id``, and the bounds of the texts."""
-        if len(self.index) > KEPT_PIECES:
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, each followed by the end id, and the bounds of the texts."""
+        if len(self.numbers) > KEPT_PIECES:
             self.reset()
-        if MARK not in self.index:
-            self.store([MARK], np.array([end_id], np.int32), np.ones(1, np.int64))
         cut = [[*chunks_of(t), MARK] for t in texts]
-        chunks = list(chain.from_iterable(cut))
-        at = np.fromiter(map(self.index.get, chunks, repeat(-1)), np.int64, len(chunks))
-        unknown = np.flatnonzero(at < 0)
-        if len(unknown):
-            named = [chunks[i] for i in unknown]
-            self.add(list(dict.fromkeys(named)))
-            at[unknown] = np.fromiter(map(self.index.__getitem__, named), np.int64, len(named))
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+        new, self.numbers.fresh = self.numbers.fresh, []
+        self.add(new, len(self.numbers) - len(new))
         ids, upto = self.gathered(at)
-        of_text = np.concatenate([[0], np.cumsum([len(one) for one in cut])]).astype(np.int64)
-        return ids, upto[of_text]
+        return ids, upto[np.concatenate([[0], np.cumsum(sizes)])]
 
 
 def encoder(path: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = PieceIds(path)
+        pieces = PieceIds(path, end_id)
         file_no, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             for block in blocks_of(batch, "text", BLOCK_BYTES):
-                ids, bounds = pieces.encode([t.encode() for t in block.column(1).to_pylist()], end_id)
+                ids, bounds = pieces.encode([t.encode() for t in block.column(1).to_pylist()])
                 tokens = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
                 yield pa.record_batch(
                     [
@@ -197,7 +219,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, target: str) -> None:
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     files = max(1, -(-size // FILE_BYTES))
-    tie = F.md5(whole_text()).alias("tie")
+    tie = F.xxhash64(whole_text()).alias("tie")
     ordered = (
         docs.select("doc_id", whole_text().alias("text"), tie)
         .repartitionByRange(files, "doc_id", "tie")
