@@ -73,12 +73,25 @@ def mix(docs: DataFrame, targets: Mapping[str, float], epochs: float = 1.0, seed
     rows.
     """
     added = ("rate", "repeats", "copy_no", "shuffle_key")
-    kept = [c for c in docs.columns if c not in added]
+    return copies(docs, targets, epochs, seed).select(
+        *[F.col("_doc").getField(c).alias(c) for c in docs.columns if c not in added],
+        F.col("_rate").alias("rate"), F.col("_repeats").alias("repeats"),
+        F.col("_copy").alias("copy_no"), F.col("_key").alias("shuffle_key"),
+    )
+
+
+def mixed_documents(docs: DataFrame, targets: Mapping[str, float], epochs: float = 1.0, seed: str = "mix") -> DataFrame:
+    """The mixture with just the columns of ``docs``, whatever their names."""
+    return copies(docs, targets, epochs, seed).select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns])
+
+
+def copies(docs: DataFrame, targets: Mapping[str, float], epochs: float, seed: str) -> DataFrame:
+    """_doc (all columns), _rate, _repeats, _copy and _key of every copy, in the order of the keys."""
     sources = with_distribution(rates(docs, targets, epochs)).select(
         F.col("listed").alias("_listed"), F.col("rate").alias("_rate"), F.col("reached").alias("_reached")
     )
     packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_doc"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
         F.when(F.col("source").isin(list(targets)), F.col("source")).alias("_group"),
         key_text("doc_id").alias("_id"),
     )
@@ -91,9 +104,4 @@ def mix(docs: DataFrame, targets: Mapping[str, float], epochs: float = 1.0, seed
         .select("_doc", "_id", "_rate", "_repeats", F.explode(F.sequence(F.lit(1), F.col("_repeats"))).alias("_copy"))
     )
     key = F.md5(F.concat(F.lit(f"{seed}|"), F.col("_id"), F.lit("|"), F.col("_copy").cast("string")))
-    shuffled = counted.withColumn("_key", key).orderBy("_key")
-    return shuffled.select(
-        *[F.col("_doc").getField(c).alias(c) for c in kept],
-        F.col("_rate").alias("rate"), F.col("_repeats").alias("repeats"),
-        F.col("_copy").alias("copy_no"), F.col("_key").alias("shuffle_key"),
-    )
+    return counted.withColumn("_key", key).orderBy("_key")

@@ -307,7 +307,11 @@ def window_groups(contents: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, n
 
 
 def merged_least(shards: list[list[bytes]], places: list[np.ndarray], least: list[np.ndarray]) -> None:
-    """The least id of every group over all shards: each shard's strings are searched in those after it."""
+    """The least id of every group over all shards: each shard's strings are searched in those after it.
+
+    The first shard that holds a string has met all others by the time it meets the last that does; so both
+    know the least id then, and those between learn it from the last.
+    """
     keys = [
         keys_of(np.frombuffer(b"".join(contents), np.uint8), place, LENGTH) for contents, place in zip(shards, places, strict=True)
     ]
@@ -318,12 +322,6 @@ def merged_least(shards: list[list[bytes]], places: list[np.ndarray], least: lis
             theirs = found[mine]
             both = np.minimum(least[i][mine], least[j][theirs])
             least[i][mine], least[j][theirs] = both, both
-    # a string in three shards may have met its least id only in the last pair
-    for i in range(len(shards)):
-        for j in range(i):
-            found = binary_search(keys[j], keys[i])
-            mine = np.flatnonzero(found >= 0)
-            least[i][mine] = np.minimum(least[i][mine], least[j][found[mine]])
 
 
 REMOVED_SCHEMA = "block long, body binary"
@@ -403,8 +401,8 @@ def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
     2. The other windows go as segments of text to the bucket of their value, where equal windows meet.
        Equal segments are one, under the least id, so copies by the thousand are one text.
     3. Windows of a bucket whose hash different segments have make shards of ``shard_bytes`` with a suffix
-       array each (Larsson and Sadakane's refinement); common prefixes by Kasai's walk give groups of equal windows with their least
-       ids; shards are merged by binary search of one's groups in another's.
+       array each (Larsson and Sadakane's refinement); common prefixes by Kasai's walk give groups of
+       equal windows with their least ids; shards are merged by binary search of one's groups in another's.
     4. The runs found go back to the texts' blocks, where what is left is put together.
 
     Texts are UTF-8 bytes. Nothing is gathered beyond one bucket or one block of texts, and all moves

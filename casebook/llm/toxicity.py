@@ -300,23 +300,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return Model(lexicon, *logistic(x, y))
 
 
-def scorer(model: Model, text_at: int):
+def scorer(model: Model, text_at: int, name: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Lexicon(model.lexicon)
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = np.array([features(t.as_py() or "", automaton) for t in batch.column(text_at)])
-            yield pa.record_batch([*batch.columns, pa.array(model.scores(x))], names=[*batch.schema.names, "score"])
+            yield pa.record_batch([*batch.columns, pa.array(model.scores(x))], names=[*batch.schema.names, name])
 
     return score
 
 
-def with_scores(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs``, and ``score``; a column of that name in the input is replaced."""
-    docs = docs.drop("score")
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes) + ", score double"
-    return docs.mapInArrow(scorer(model, docs.columns.index("text")), schema)
+def with_scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """All columns of ``docs``, and the score under ``name``; a column of that name in the input is replaced."""
+    docs = docs.drop(name)
+    schema = ", ".join(f"`{column}` {kind}" for column, kind in docs.dtypes) + f", {name} double"
+    return docs.mapInArrow(scorer(model, docs.columns.index("text"), name), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -343,5 +343,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents not predicted toxic, with all their columns."""
-    scored = with_scores(docs, fit(docs, labels))
-    return scored.filter(F.col("score") < THRESHOLD).select(*docs.columns)
+    scored = with_scores(docs, fit(docs, labels), "_toxicity")
+    return scored.filter(F.col("_toxicity") < THRESHOLD).select(*[f"`{c}`" for c in docs.columns])

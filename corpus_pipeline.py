@@ -33,7 +33,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents repeated to the target weights of their sources, in a global shuffle."""
-    return mixing.mix(docs, TARGETS).select(*docs.columns)
+    return mixing.mixed_documents(docs, TARGETS)
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

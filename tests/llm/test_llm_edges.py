@@ -226,7 +226,7 @@ def test_special_strings_and_white_space(spark):
     for text, own in zip(texts, pieces, strict=True):
         assert sum(counts[p] for p in own) == len(library.encode(text, add_special_tokens=False).ids), repr(text)
     library = token_counts.tokenizer(byte)
-    ids, bounds = token_files.PieceIds(byte).encode([t.encode() for t in texts], 2)
+    ids, bounds = token_files.PieceIds(byte, 2).encode([t.encode() for t in texts])
     for i, text in enumerate(texts):
         assert ids[bounds[i] : bounds[i + 1]].tolist() == [*library.encode(text, add_special_tokens=False).ids, 2], repr(text)
 
@@ -266,6 +266,7 @@ def test_pipeline_runs_on_odd_texts(spark, stored, items, labels, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == stored.columns
+        assert {(r.score, r.copy_no, r["row"], r.value) for r in docs.collect()} == {(0.5, 7, 3, "v")}
 
 
 def test_held_out_rows_teach_nothing(spark, labels):
