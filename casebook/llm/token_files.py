@@ -19,12 +19,12 @@ from casebook.llm.token_counts import tokenizer
 from casebook.session import scratch_path
 
 #: Bytes of text encoded at a time, and distinct pieces a task remembers before it starts anew.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 KEPT_PIECES = 1_500_000
 #: Pieces handed to the library at a time; what it returns for them is large.
 CALL_PIECES = 20_000
 #: Text that one task encodes and writes to one file: the more, the fewer pieces are encoded twice.
-FILE_BYTES = 80 << 20
+FILE_BYTES = 56 << 20
 #: Row groups small enough to skip, pages with few rows, and dictionary codes for the ids, which
 #: come from a vocabulary that fits one dictionary page.
 FORMAT = {
