@@ -162,6 +162,10 @@ class Loaded:
     malformed: DataFrame
     profile: dict[str, int]
 
+    def profile_table(self) -> DataFrame:
+        """The profile as a table: measure, rows."""
+        return self.rows.sparkSession.createDataFrame(list(self.profile.items()), "measure string, rows long")
+
 
 def load_csv(
     spark: SparkSession,

@@ -91,6 +91,7 @@ def test_empty_rows_and_no_value_rows(spark, file):
     loaded = load_csv(spark, file("A A,B-B,C.C\n,,\nN/A,none,None\n"), SIMPLE)
     assert rows(loaded, "a_a", "b_b", "cc") == [(None, "none", None)]
     assert loaded.profile == {"rows_in": 2, "all_null": 1, "missing_required": 0, "kept": 1, "malformed": 0}
+    assert {(r.measure, r.rows) for r in loaded.profile_table().collect()} == set(loaded.profile.items())
 
 
 def test_malformed_rows_are_kept_and_quarantined(spark, file):

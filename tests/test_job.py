@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from casebook.plans.job import input_paths, main, run
-from casebook.session import drop_scratch, scratch_folder, written
+from casebook.session import drop_scratch, scratch, scratch_folder, written
 from casebook.sinks.jdbc import JdbcTarget, write_table
 from casebook.sources.csv import MissingInput
 from incident_files import crimes_sql, write_files
@@ -30,6 +30,7 @@ def done(spark, small, tmp_path_factory):
     target = JdbcTarget(
         f"jdbc:derby:memory:job_{uuid.uuid4().hex};create=true",
         {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"},
+        connections=2,
     )
     report = run(spark, input_paths(folder), lambda df, name: write_table(df, name, target))
     return report, target
@@ -186,6 +187,15 @@ def test_scratch_can_be_dropped(spark, tmp_path, monkeypatch):
     assert os.listdir(tmp_path) == []
 
 
+def test_scratch_goes_when_work_fails(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("casebook.session.scratch_folder", lambda spark: f"file://{tmp_path}/scratch")
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        written(spark.range(3), "left")
+        assert os.listdir(tmp_path) == ["scratch"]
+        1 / 0
+    assert os.listdir(tmp_path) == []
+
+
 def test_preview_is_logged(spark, small, tmp_path, caplog):
     write_files(small, str(tmp_path))
     with caplog.at_level("INFO", logger="casebook"):
