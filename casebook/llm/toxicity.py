@@ -28,6 +28,10 @@ LIFT = 6.0
 #: Letters of stems, which count when more letters follow, and of the shortest term with a tolerated edit.
 STEM_LETTERS = range(4, 10)
 EDITED_LETTERS = 5
+#: What an edit takes from the log-odds of a term: one that is barely in the lexicon has no misspellings.
+EDIT_PENALTY = math.log(LIFT)
+#: A spelling with an edit that this many clean documents of the sample hold may be a word of its own.
+COMMON = 2
 #: Words on both sides that make up the context of a finding, characters searched for quotation marks.
 CONTEXT_WORDS = 12
 QUOTE_CHARACTERS = 60
@@ -37,7 +41,7 @@ KEPT = 500_000
 
 WORD = re.compile(r"[^\W_]+")
 OPENING, CLOSING = "\"“„«‘‹", "\"”“»’›"
-N_FEATURES = 10
+N_FEATURES = 9
 
 
 @dataclass
@@ -51,6 +55,8 @@ class Lexicon:
     terms: dict[str, float]
     children: list[dict[str, int]] = field(default_factory=lambda: [{}])
     ends: dict[int, tuple[str, bool]] = field(default_factory=dict)
+    #: Words that are no misspellings though they are one edit away from a term.
+    common: frozenset[str] = frozenset()
 
     def __post_init__(self):
         for term in self.terms:
@@ -117,11 +123,13 @@ class Lexicon:
                         stem = self.ends[node][1]
         found = (stem, 0) if stem else None
         reached = [
-            (edits, self.ends[node][0]) for node, edits in self.sets[state] if node in self.ends and self.ends[node][0]
+            (edits, -self.terms[term], term) for node, edits in self.sets[state]
+            if node in self.ends and (term := self.ends[node][0])
+            and (edits == 0 or found is None and len(term) - 1 >= EDITED_LETTERS and word not in self.common)
         ]
-        for edits, term in sorted(reached)[:1]:
-            if edits == 0 or found is None and len(term) - 1 >= EDITED_LETTERS:
-                found = (term, edits)
+        # the word itself before its misspellings, of these the strongest
+        for edits, _, term in sorted(reached)[:1]:
+            found = (term, edits)
         self.known[word] = found
         return found
 
@@ -136,7 +144,11 @@ def quoted(text: str, start: int, end: int) -> bool:
 
 
 def features(text: str, lexicon: Lexicon) -> np.ndarray:
-    """What the findings of a text say: how many, how strong, how dense, how near, whether quoted."""
+    """What the findings of a text say: how many, how strong, how dense, how near, whether quoted.
+
+    A misspelled term is a finding like the term, less its EDIT_PENALTY: no weight hangs on misspellings
+    alone, of which a sample may hold none.
+    """
     values = np.zeros(N_FEATURES)
     lowered = text.lower()
     words = WORD.findall(lowered)
@@ -144,7 +156,7 @@ def features(text: str, lexicon: Lexicon) -> np.ndarray:
     hits = {w: found for w in set(words) if (found := lexicon.look_up(w))}
     if not hits:
         return values
-    at, exact, edited, stems, cited, strength, best = [], 0, 0, 0, 0, 0.0, 0.0
+    at, weight, spelled, stems, cited, strength, best = [], 0.0, 0.0, 0, 0, 0.0, 0.0
     for number, match in enumerate(WORD.finditer(lowered)):
         found = hits.get(match[0])
         if not found:
@@ -153,18 +165,21 @@ def features(text: str, lexicon: Lexicon) -> np.ndarray:
         if quoted(lowered, match.start(), match.end()):
             cited += 1
             continue
-        exact += edits == 0 and term[0] == "="
-        edited += edits > 0
+        odds = lexicon.terms[term]
+        left = max(0.0, odds - EDIT_PENALTY * edits)
+        if not left:
+            continue
+        spelled += (term[0] == "=") * left / odds
         stems += term[0] == "^"
-        if not edits:
-            at.append(number)
-            strength += lexicon.terms[term]
-            best = max(best, lexicon.terms[term])
+        at.append(number)
+        weight += left / odds
+        strength += left
+        best = max(best, left)
     # the most findings within a context window
     near = max((int(np.searchsorted(at, a + 2 * CONTEXT_WORDS, "right")) - i for i, a in enumerate(at)), default=0)
     values[1:] = [
-        math.log1p(exact), math.log1p(stems), math.log1p(edited), math.log1p(cited), float(exact > 0),
-        best, math.log1p(strength), min(5.0, 100 * len(at) / len(words)), math.log1p(near),
+        math.log1p(spelled), math.log1p(stems), float(spelled > 0), math.log1p(cited),
+        best, math.log1p(strength), min(5.0, 100 * weight / len(words)), math.log1p(near),
     ]
     return values
 
@@ -175,6 +190,7 @@ class Model:
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
+    common: frozenset[str] = frozenset()
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         z = ((x - self.mean) / self.scale) @ self.weights[1:] + self.weights[0]
@@ -257,6 +273,34 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     return {s: kept[s] for s in strongest}
 
 
+def count_misspellings(lexicon: dict[str, float]):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = Lexicon(lexicon)
+        for batch in batches:
+            held: Counter[tuple[str, int]] = Counter()
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = set(WORD.findall((text or "").lower()))
+                held.update((w, toxic) for w in words if (found := automaton.look_up(w)) and found[1])
+            columns = [[w for w, _ in held], [t for _, t in held], list(held.values())]
+            kinds = [pa.string(), pa.int32(), pa.int64()]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["word", "toxic", "n"])
+
+    return count
+
+
+def common_words(sample: DataFrame, lexicon: dict[str, float]) -> frozenset[str]:
+    """Words one edit away from a term that clean documents of the first two parts hold as well."""
+    rows = sample.filter("part < 2")
+    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if not lexicon or len(sizes) < 2:
+        return frozenset()
+    counted = rows.select("text", "toxic").mapInArrow(count_misspellings(lexicon), "word string, toxic int, n long")
+    toxic, clean = (F.coalesce(F.sum(F.when(F.col("toxic") == kind, F.col("n"))), F.lit(0)) for kind in (1, 0))
+    forms = counted.groupBy("word").agg(toxic.alias("t"), clean.alias("c")).filter(F.col("c") >= COMMON)
+    lift = ((F.col("t") + 0.5) / (sizes[1] + 1)) / ((F.col("c") + 0.5) / (sizes[0] + 1))
+    return frozenset(r["word"] for r in forms.filter(lift < LIFT).select("word").collect())
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Mean, scale and weights of a logistic regression by Newton's steps."""
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
@@ -274,9 +318,9 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarr
     return mean, scale, w
 
 
-def feature_batches(lexicon: dict[str, float]):
+def feature_batches(lexicon: dict[str, float], common: frozenset[str]):
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Lexicon(lexicon)
+        automaton = Lexicon(lexicon, common=common)
         for batch in batches:
             rows = [features(t or "", automaton) for t in batch.column(0).to_pylist()]
             yield pa.record_batch([pa.array([r.tolist() for r in rows], pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
@@ -291,18 +335,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """
     sample = labelled_sample(docs, labels)
     lexicon = learn_lexicon(sample)
-    rows = sample.filter("part = 2").select("text", "toxic").mapInArrow(feature_batches(lexicon), "x array<double>, toxic int")
+    common = common_words(sample, lexicon)
+    rows = sample.filter("part = 2").select("text", "toxic")
+    rows = rows.mapInArrow(feature_batches(lexicon, common), "x array<double>, toxic int")
     found = rows.toArrow()
     y = found.column("toxic").to_numpy().astype(float)
     if not lexicon or len(set(y)) < 2:
         return Model({}, np.zeros(N_FEATURES), np.ones(N_FEATURES), np.array([-30.0] + [0.0] * N_FEATURES))
     x = np.array(found.column("x").to_pylist())
-    return Model(lexicon, *logistic(x, y))
+    return Model(lexicon, *logistic(x, y), common)
 
 
 def scorer(model: Model, text_at: int, name: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Lexicon(model.lexicon)
+        automaton = Lexicon(model.lexicon, common=model.common)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -323,8 +369,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The toxicity of every whole text, learned from ``labels.toxic``.
 
     Words and stems that mark toxic documents are learned from the sample into a lexicon. All words
-    of all documents run through the automaton of its spellings with one edit; findings in quotation
-    marks are counted apart, and number, strength, density and nearness of the others make the
+    of all documents run through the automaton of its spellings with one edit; a misspelled term counts
+    as the term less a penalty, unless clean documents of the sample hold that spelling. Findings in
+    quotation marks are counted apart, and number, strength, density and nearness of the others make the
     score by logistic regression. Only the text is an input of the score. Scoring is one pass
     without a shuffle.
 

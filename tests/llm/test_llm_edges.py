@@ -239,6 +239,23 @@ def test_misspelled_terms():
     assert all(found[w] is None for w in ("idoit", "iditos", "scam", "achlich", "achli", ""))
 
 
+def test_the_strongest_of_all_terms_at_one_edit():
+    lexicon = toxicity.Lexicon({"=bathe": 1.0, "=lathe": 3.0, "=rath": 9.0}, common=frozenset(["lather"]))
+    assert lexicon.look_up("xathe") == ("=lathe", 1) and lexicon.look_up("rathe") == ("=lathe", 1)
+    assert lexicon.look_up("lather") is None and lexicon.look_up("rath") == ("=rath", 0)
+
+
+def test_documents_of_misspelled_terms_alone(spark):
+    """No misspelling is in the sample, but a word of clean documents one edit from a term is."""
+    bad = ["idiot", "stupid", "moron"]
+    texts = [(i, f"plain words and you about day {i} " + (f"you {bad[i % 3]} and {bad[(i + 1) % 3]}" if i % 5 == 0 else "of the boron mine")) for i in range(600)]
+    marks = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600)], "doc_id long, toxic int")
+    texts += [(1000, "plain words about you idi0t and stupidd"), (1001, "plain words about you mor0n and sutpid"), (1002, "boron and boron and boron of the mine")]
+    rows = toxicity.toxicity(spark.createDataFrame(texts, "doc_id long, text string"), marks).collect()
+    assert {r.doc_id: r.predicted for r in rows if r.doc_id >= 1000} == {1000: 1, 1001: 1, 1002: 0}
+    assert all(r.predicted == (r.doc_id % 5 == 0) for r in rows if r.doc_id < 1000)
+
+
 def test_quotation_counts_apart():
     lexicon = toxicity.Lexicon({"=idiot": 3.0})
     said, meant = toxicity.features('they wrote "idiot" on it', lexicon), toxicity.features("you idiot on it", lexicon)
