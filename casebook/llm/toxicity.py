@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +34,18 @@ EDITED_LETTERS = 5
 EDIT_PENALTY = math.log(LIFT)
 #: A spelling with an edit that this many clean documents of the sample hold may be a word of its own.
 COMMON = 2
-#: Words on both sides that make up the context of a finding, characters searched for quotation marks.
+#: Words on both sides that make up the context of a finding.
 CONTEXT_WORDS = 12
-QUOTE_CHARACTERS = 60
 THRESHOLD = 0.3
 #: Words and states a task remembers.
 KEPT = 500_000
 
 WORD = re.compile(r"[^\W_]+")
-OPENING, CLOSING = "\"“„«‘‹", "\"”“»’›"
+#: Quotation marks that open, those that each mark may close, and what stands after a closing one.
+OPENING = "\"“„«»‘‚‹›"
+CLOSED_BY = {'"': '"', "”": "“„", "“": "„", "»": "«", "«": "»", "’": "‘‚", "‘": "‚", "›": "‹", "‹": "›"}
+MARK = re.compile("[\"“”„«»‘’‚‹›]")
+ENDS = ".,;:!?)]}…"
 N_FEATURES = 9
 
 
@@ -134,13 +139,40 @@ class Lexicon:
         return found
 
 
-def quoted(text: str, start: int, end: int) -> bool:
-    """Whether a mark opens before and a mark closes after, with neither's partner in between."""
-    before, after = text[max(0, start - QUOTE_CHARACTERS) : start], text[end : end + QUOTE_CHARACTERS]
-    left = max(((before.rfind(q), q) for q in OPENING), default=(-1, ""))
-    if left[0] < 0 or before.count('"') % 2 == 0 and left[1] == '"':
-        return False
-    return any(q in after for q in CLOSING)
+def quotations(text: str) -> tuple[list[int], list[int]]:
+    """Where quotations begin, in order, and the furthest end of those up to each: pairs of marks, in one scan.
+
+    A closing mark belongs to the last open one of its kind, and ends what was opened in between. Marks
+    that stay unpaired open nothing; ’ and ‘ inside or before the rest of a word are apostrophes.
+    """
+    opened: dict[str, list[int]] = {kind: [] for kind in OPENING}
+    pairs = []
+    for match in MARK.finditer(text):
+        mark, at = match[0], match.start()
+        before, after = text[at - 1 : at], text[at + 1 : at + 2]
+        opens = (not before or before.isspace() or before in "([{") and bool(after) and not after.isspace() and after not in ENDS
+        closes = bool(before) and not before.isspace() and before not in "([{" and (not after or after.isspace() or after in ENDS)
+        kinds = [kind for kind in CLOSED_BY.get(mark, "") if opened[kind]]
+        if mark == "’" and after.isalnum() or mark in "«‹" and not closes or mark in "\"“‘" and opens:
+            kinds = []
+        if kinds:
+            start = max(opened[kind][-1] for kind in kinds)
+            pairs.append((start, at))
+            for places in opened.values():
+                while places and places[-1] >= start:
+                    places.pop()
+        elif mark in OPENING and not closes and not before.isalnum() and (opens or mark not in "»›"):
+            if mark == '"':
+                opened[mark].clear()
+            opened[mark].append(at)
+    pairs.sort()
+    return [start for start, _ in pairs], list(accumulate((end for _, end in pairs), max))
+
+
+def quoted(quotes: tuple[list[int], list[int]], start: int, end: int) -> bool:
+    """Whether a pair of marks is around a place."""
+    number = bisect_left(quotes[0], start)
+    return number > 0 and quotes[1][number - 1] >= end
 
 
 def features(text: str, lexicon: Lexicon) -> np.ndarray:
@@ -157,12 +189,13 @@ def features(text: str, lexicon: Lexicon) -> np.ndarray:
     if not hits:
         return values
     at, weight, spelled, stems, cited, strength, best = [], 0.0, 0.0, 0, 0, 0.0, 0.0
+    quotes = quotations(lowered)
     for number, match in enumerate(WORD.finditer(lowered)):
         found = hits.get(match[0])
         if not found:
             continue
         term, edits = found
-        if quoted(lowered, match.start(), match.end()):
+        if quoted(quotes, match.start(), match.end()):
             cited += 1
             continue
         odds = lexicon.terms[term]
@@ -371,7 +404,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Words and stems that mark toxic documents are learned from the sample into a lexicon. All words
     of all documents run through the automaton of its spellings with one edit; a misspelled term counts
     as the term less a penalty, unless clean documents of the sample hold that spelling. Findings in
-    quotation marks are counted apart, and number, strength, density and nearness of the others make the
+    pairs of quotation marks, however long, are counted apart, and number, strength, density and nearness of the others make the
     score by logistic regression. Only the text is an input of the score. Scoring is one pass
     without a shuffle.
 

@@ -262,6 +262,20 @@ def test_quotation_counts_apart():
     assert said[4] > 0 == said[1] and meant[1] > 0 == meant[4]
 
 
+@pytest.mark.parametrize(("text", "cited"), [
+    ('she read "' + "plain words " * 30 + "idiot" + " plain words" * 30 + '" aloud', True),
+    ("sie las „" + "viele Worte " * 30 + "idiot" + " viele Worte" * 30 + "“ vor", True),
+    ("« tu es un idiot », dit-on", True), ("»du idiot«, sagt man", True), ("»Nein«, du idiot, »ja«", False),
+    ("“so ‘you idiot’ it’s said”", True), ("“he said “no” to the idiot”", True), ('("idiot")', True),
+    ('"a ' + "word " * 20 + '" you idiot "b ' + "word " * 20 + '"', False),
+    ("“hi”, he said. You idiot, it’s over", False), ("‘hi’, he said. You idiot, it’s over", False),
+    ('"you idiot', False), ("“you idiot", False), ('a 5" tall idiot and "more"', False), ('open " you idiot "so" it is', False),
+])
+def test_quotations_are_pairs(text, cited):
+    found = toxicity.features(text, toxicity.Lexicon({"=idiot": 3.0}))
+    assert (found[4] > 0, found[1] > 0) == (cited, not cited)
+
+
 def test_network_finds_what_rules_leave(spark):
     random.seed(4)
     key = lambda n: "".join(random.choice("0123456789abcdef") for _ in range(n))
