@@ -3,6 +3,8 @@
 import random
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from casebook.llm import decontamination, jaccard_join, mixing, repeats, secrets, sharding, token_counts, token_files, top_k, toxicity
 from casebook.llm.queries import vocabulary
@@ -13,6 +15,10 @@ from test_llm_queries import brute_components, brute_repeats
 import corpus_pipeline
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, score double, copy_no int, row long, value string"
+SECRET_ROWS = (
+    "doc_id long, rules array<struct<start:long,kind:int,end:long>>, "
+    "candidates array<struct<start:long,end:long,shape:int,label:int,window:binary>>"
+)
 LONG = " ".join(f"w{i % 7919}x{i % 6007}" for i in range(60_000))
 
 
@@ -288,6 +294,30 @@ def test_network_finds_what_rules_leave(spark):
     assert all(found[i].n_assign == 1 for i in range(400))
 
 
+def test_no_shape_is_switched_off():
+    """Findings of one shape only, half of another that cannot be told from the rest."""
+    random.seed(6)
+    key = lambda letters, n: "".join(random.choice(letters) for _ in range(n))
+    made = [("0123456789abcdef", 24, 1, 1), ("0123456789", 16, 0, 0)] * 100 + [("ghijkl0123", 20, 2, 1)] * 30 + [("ghijkl0123", 20, 2, 0)] * 60
+    windows = [secrets.window(k := key(letters, n), 0, len(k)) for letters, n, _, _ in made]
+    shapes, labels = np.array([m[2] for m in made]), np.array([float(m[3]) for m in made])
+    codes, network = secrets.codes_of(windows), secrets.Network.fresh()
+    network.train(codes, labels)
+    network.calibrate(codes, labels, shapes)
+    scores, limits = network.probabilities(codes), network.thresholds
+    assert all(limit <= 1 for limit in limits)
+    for shape in (1, 2):
+        assert (scores[(shapes == shape) & (labels == 1)] >= limits[shape]).mean() >= secrets.LEAST_RECALL
+    assert limits[0] == limits[3] and (scores[labels == 1] >= limits[3]).mean() >= secrets.LEAST_RECALL
+
+
+def test_few_labelled_candidates_are_learned_from(spark):
+    rows = [(i, f"token = {'0123456789abcdef'[i:]}{'fedcba9876543210'[: 16 + i]} and number {1000200030004000 + i * 7919} end") for i in range(5)]
+    found = secrets.find(iter([pa.record_batch([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], names=["doc_id", "text"])]))
+    table = spark.createDataFrame([r for batch in found for r in batch.to_pylist()], SECRET_ROWS)
+    assert max(secrets.fit(table).thresholds) <= 1
+
+
 def test_pipeline_runs_on_odd_texts(spark, stored, items, labels, tmp_path):
     for name, df in (("documents", stored), ("benchmark", items), ("labels", labels)):
         df.write.parquet(str(tmp_path / f"{name}.parquet"))
