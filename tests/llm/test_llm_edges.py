@@ -311,6 +311,22 @@ def test_no_shape_is_switched_off():
     assert limits[0] == limits[3] and (scores[labels == 1] >= limits[3]).mean() >= secrets.LEAST_RECALL
 
 
+def test_long_candidates_are_seen_whole():
+    """A key that stands behind the 48th character of a path, and a network that looks for an x."""
+    text = "path a/" + "b/" * 200 + "0x3" + "/c" * 60 + " end and path b/" + "b2/" * 100 + " end"
+    batch = pa.record_batch([pa.array([1]), pa.array([text])], names=["doc_id", "text"])
+    found = list(secrets.find(iter([batch])))
+    network = secrets.Network.fresh()
+    network.probabilities = lambda codes: (codes == ord("x") - 31).any(axis=1).astype(float)
+    network.thresholds = (0.5,) * secrets.SHAPES
+    [rows] = [b.to_pylist() for b in secrets.reporter(network)(iter(found))]
+    assert rows[0]["spans"] == f"model:5:{text.index(' end')}" and rows[0]["n_model"] == 1
+    covered = set()
+    for first, last in secrets.pieces(5, 600):
+        covered |= set(range(first, last))
+    assert covered == set(range(5, 600)) and secrets.pieces(3, 51) == [(3, 51)]
+
+
 def test_few_labelled_candidates_are_learned_from(spark):
     rows = [(i, f"token = {'0123456789abcdef'[i:]}{'fedcba9876543210'[: 16 + i]} and number {1000200030004000 + i * 7919} end") for i in range(5)]
     found = secrets.find(iter([pa.record_batch([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], names=["doc_id", "text"])]))
