@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import decontamination, jaccard_join, mixing, repeats, secrets, sharding, token_counts, token_files, top_k, toxicity
+from casebook.llm import (
+    alignment,
+    byte_bpe,
+    decontamination,
+    fill_in_middle,
+    jaccard_join,
+    mixing,
+    repeats,
+    secrets,
+    sharding,
+    token_counts,
+    token_files,
+    top_k,
+    toxicity,
+)
 from casebook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +142,54 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.rearranged(table(spark, sf_dir, "documents")))
+
+
+OP11_SQL = r"""
+with d as (
+  select doc_id, coalesce(text, '') as text, sha256('7:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+lined as (
+  select *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') as lines, ('0x' || substr(h, 1, 8))::bigint as h1,
+    ('0x' || substr(h, 9, 8))::bigint as h2, ('0x' || substr(h, 17, 8))::bigint as h3, ('0x' || substr(h, 25, 8))::bigint as h4
+  from d),
+ranked as (
+  select *, len(lines) as n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) as a,
+    greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 100
+      then 'plain' when h4 % 100 < 50 then 'spm' else 'psm' end as form
+  from lined),
+cut as (
+  select *, array_to_string(lines[1 : a], '') as prefix, array_to_string(lines[a + 1 : b], '') as middle,
+    array_to_string(lines[b + 1 :], '') as suffix
+  from ranked)
+select doc_id, n::bigint as n, form,
+  case when form <> 'plain' then length(prefix) end as prefix_chars,
+  case when form <> 'plain' then length(middle) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(prefix || middle || suffix) as restored_sha256
+from cut
+"""
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary(spark, "byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"), path, byte_pattern()), path))
+
+
+def byte_pattern() -> str:
+    """How texts are cut before the merges of the rank files, as the tokenizers' package has it."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte, piece = vocabulary(spark, "byte_bpe_50k.json"), vocabulary(spark, "piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), byte, piece)
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_top_k": op2_top_k,
@@ -139,9 +201,13 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_alignment": op13_alignment,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": OP1_SQL,
     "op2_top_k": OP2_SQL,
     "op3_decontamination": OP3_SQL,
+    "op11_fill_in_middle": OP11_SQL,
 }
