@@ -86,6 +86,17 @@ def drop_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a table by renaming its folder; what was at ``target`` goes."""
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    old, new = paths(source), paths(target)
+    system = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(new, True)
+    system.mkdirs(new.getParent())
+    if not system.rename(old, new):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Remove the application's intermediate tables at the end, also when the work fails."""

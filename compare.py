@@ -6,7 +6,6 @@ and each result is counted and then written, all from the files. Results are dis
 
 from __future__ import annotations
 
-import dataclasses
 import json
 import os
 import sys
@@ -20,7 +19,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "tes
 from bench import SF_DIR, discard, seconds, session
 from casebook.plans import reports
 from casebook.plans.job import input_paths, run
-from casebook.sources.csv import KEPT, RAW_LINE, ROW_STATE, read_raw, typed_rows
+from casebook.sources.csv import KEPT, NOT_ROWS, RAW_LINE, ROW_STATE, typed_rows
 from casebook.sources.specs import DATASETS
 from incident_files import write_files
 
@@ -28,8 +27,10 @@ from incident_files import write_files
 def recompute_every_action(spark, paths) -> None:
     data = {}
     for spec in DATASETS:
-        raw = read_raw(spark, paths[spec.name], dataclasses.replace(spec, multiline=True))
-        rows = typed_rows(raw, spec).filter(F.col(ROW_STATE) == KEPT).drop(RAW_LINE, ROW_STATE)
+        schema = ", ".join(f"`{name}` string" for name in (*spec.headers, RAW_LINE))
+        reader = spark.read.schema(schema).options(header=True, multiLine=True, escape='"', columnNameOfCorruptRecord=RAW_LINE)
+        raw = reader.csv(paths[spec.name])
+        rows = typed_rows(raw, spec).filter(F.col(ROW_STATE) == KEPT).drop(*NOT_ROWS)
         raw.count()
         rows.count()
         data[spec.name] = rows
