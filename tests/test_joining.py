@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from casebook.operators.distance import distance_by_key
 from casebook.operators.joining import (
+    BROADCAST_BYTES,
     attach_dimension,
     byte_size,
     hot_keys,
@@ -91,6 +92,55 @@ def test_measured_size(spark):
     assert byte_size(df.limit(0)) == 0
 
 
+@pytest.mark.parametrize(("kind", "value", "inside"), [
+    ("string", "abcd", 4), ("binary", bytearray(b"abcde"), 5), ("int", 7, 0), ("decimal(20,2)", None, 0),
+    ("array<int>", [1, None, 3], 48), ("array<string>", ["ab", None, "cde"], 2 + 3 + 48), ("array<array<string>>", [["ab"], None], 16 + 18 + 16),
+    ("map<string,int>", {"abc": 1, "d": 2}, (16 + 4 + 32) + (16 + 32)), ("map<int,array<string>>", {1: ["xy"]}, (16 + 16) + (16 + 16 + 18)),
+    ("struct<a:string,b:array<binary>>", ("abc", [bytearray(b"12")]), 16 + 3 + 16 + 18),
+    ("string", None, 0), ("array<string>", None, 0), ("struct<a:string>", None, 0), ("map<string,string>", None, 0),
+])
+def test_measured_size_of_nested_values(spark, kind, value, inside):
+    assert byte_size(spark.createDataFrame([(value,)], f"`a b` {kind}")) == 16 + inside
+
+
+def test_values_of_unknown_size_are_not_broadcast(spark):
+    assert byte_size(spark.sql("select parse_json('[1]') as v")) > BROADCAST_BYTES
+
+
+def test_large_nested_dimension_is_not_broadcast(spark, skewed, no_broadcast):
+    """Few rows, whose arrays hold 100 MB."""
+    wide = spark.range(50).select(F.col("id").cast("int").alias("k"), F.array_repeat(F.repeat(F.lit("x"), 1000), 2000).alias("names"))
+    assert byte_size(wide) > 50 * 2000 * 1000
+    joined = attach_dimension(skewed, wide, "district", "k", {"names": "names"})
+    assert "BroadcastHashJoin LeftOuter" not in plan_of(joined) and "_side_salt" in plan_of(joined)
+
+
+def test_facts_are_computed_once(spark, skewed, dimension, no_broadcast):
+    """Also when they have hot keys, null keys, and a key type that summaries do not take."""
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    facts = skewed.select("id", F.when(F.col("id") % 7 > 0, F.array("district")).alias("places")).mapInArrow(count, "id long, places array<int>")
+    side = dimension.select(F.array("k").alias("_k"), "name").filter("k is not null")
+    joined = salted_left_join(facts, side, "places", "_k")
+    rows = joined.collect()
+    assert passed.value == 6000
+    plain = skewed.select("id", F.when(F.col("id") % 7 > 0, F.array("district")).alias("places")).join(side, F.col("places") == F.col("_k"), "left")
+    assert sorted(map(repr, rows)) == sorted(map(repr, plain.collect()))
+
+
+def test_all_hot_keys_are_found_among_many(spark):
+    """Keys just above a partition's share of the rows, among a hundred thousand others."""
+    facts = spark.range(200_000).select(F.when(F.col("id") % 5 < 3, F.pmod(F.xxhash64("id"), F.lit(4)) - 4).otherwise(F.col("id")).alias("k"))
+    counts = {r["k"]: r["count"] for r in facts.filter("k < 0").groupBy("k").count().collect()}
+    found = {r["_key"]: r["_rows"] for r in hot_keys(facts, "k").collect()}
+    assert found == {k: n for k, n in counts.items() if n > 200_000 / 8} and len(found) == 4
+
+
 def test_small_dimension_is_broadcast(skewed, dimension):
     joined = attach_dimension(skewed, dimension, "district", "k", {"name": "label"})
     assert joined.columns == [*skewed.columns, "label"]
