@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import os
 import sys
@@ -11,10 +12,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from casebook.plans import reports
-from casebook.session import build_session, drop_scratch, written
+from casebook.plans.manifest import Manifest, fingerprint
+from casebook.session import build_session, drop_scratch, scratch_path, shared_folder, written
 from casebook.sinks.jdbc import JdbcTarget, write_table
-from casebook.sources.csv import MissingInput, load_csv, require_paths
-from casebook.sources.specs import DATASETS
+from casebook.sources.csv import Loaded, MissingInput, load_csv, require_paths, staged_rows
+from casebook.sources.specs import DATASETS, DatasetSpec
 
 log = logging.getLogger("casebook")
 
@@ -34,54 +36,100 @@ def input_paths(data_dir: str) -> dict[str, str]:
     return {spec.name: f"{data_dir.rstrip('/')}/{spec.file_name}" for spec in DATASETS}
 
 
+def ingest(spark: SparkSession, path: str, spec: DatasetSpec, manifest: Manifest) -> Loaded:
+    """A dataset as the run staged it, or parsed and staged now."""
+    stage, marker = manifest.table(spec.name), f"input-{spec.name}"
+    noted = manifest.facts(marker)
+    if noted is not None:
+        return staged_rows(spark, stage, noted["profile"])
+    loaded = load_csv(spark, path, spec, stage=stage)
+    manifest.finish(marker, profile=loaded.profile)
+    return loaded
+
+
 def run(
-    spark: SparkSession, paths: Mapping[str, str], write: Writer, *, k: int = 10, preview: int = 0
+    spark: SparkSession, paths: Mapping[str, str], write: Writer, *, k: int = 10, preview: int = 0,
+    manifest: Manifest | None = None,
 ) -> JobReport:
     """Ingest every dataset, compute the five analyses and hand each table to ``write`` once.
 
-    ``preview`` logs that many first rows of each table, at the price of computing them again.
+    ``preview`` logs that many first rows of each table, at the price of computing them again. With a
+    ``manifest`` a run that was stopped goes on where it was: inputs that are staged are not parsed, and tables
+    that are written not computed again, as long as the input files are the same. Its caller clears it
+    when the run is done.
     """
     report = JobReport()
     require_paths(spark, paths.values())
+    manifest = manifest or Manifest(spark, scratch_path(spark, "run"))
+    manifest.begin(f"k={k};{fingerprint(spark, paths.values())}")
 
     data = {}
     for spec in DATASETS:
-        loaded = load_csv(spark, paths[spec.name], spec)
+        loaded = ingest(spark, paths[spec.name], spec, manifest)
         data[spec.name] = loaded.rows
         report.profiles[spec.name] = loaded.profile
         log.info("%s: %s", spec.name, loaded.profile)
     crimes, arrests, stations, violence, offenders = (data[spec.name] for spec in DATASETS)
 
-    # small tables that several results start from
-    times = written(reports.time_counts(crimes), "time_counts")
-    places = written(reports.place_counts(crimes), "place_counts")
-
-    def emit(tables: reports.Tables) -> None:
+    def emit(name: str, table: DataFrame) -> dict:
+        facts = {}
+        pair = reports.CORRELATED.get(name)
+        if pair:
+            table = written(table, name)
+            facts["correlation"] = reports.correlation_of(name, table).first()[0]
+            log.info("pearson r of %s and %s: %s", *pair, facts["correlation"])
+        for row in table.take(preview) if preview else ():
+            log.info("%s: %s", name, row)
+        rows = write(table, name)
+        log.info("%s: %s rows", name, rows)
+        return manifest.finish(f"result-{name}", rows=rows, **facts)
+
+    def analyse(name: str, make: Callable[[], reports.Tables]) -> None:
+        """The tables of one analysis, which is not begun where all of them are written."""
+        finished = manifest.facts(f"analysis-{name}")
+        names = finished["tables"] if finished else make_and_emit(make)
+        if not finished:
+            manifest.finish(f"analysis-{name}", tables=names)
+        for table in names:
+            noted = manifest.facts(f"result-{table}")
+            report.rows[table] = noted["rows"]
+            if table in reports.CORRELATED:
+                report.correlations[table] = noted["correlation"]
+
+    def make_and_emit(make: Callable[[], reports.Tables]) -> list[str]:
+        tables = make()
         for name, table in tables.items():
-            pair = reports.CORRELATED.get(name)
-            if pair:
-                table = written(table, name)
-                report.correlations[name] = reports.correlation_of(name, table).first()[0]
-                log.info("pearson r of %s and %s: %s", *pair, report.correlations[name])
-            for row in table.take(preview) if preview else ():
-                log.info("%s: %s", name, row)
-            report.rows[name] = write(table, name)
-            log.info("%s: %s rows", name, report.rows[name])
-
-    emit(reports.crime_trends(times))
-    emit(reports.arrest_rates(places, crimes, arrests))
-    emit(reports.dataset_joins(crimes, arrests, stations))
-    located = reports.crime_hotspots(crimes, k)
-    if not located:
-        log.warning("fewer located crimes than clusters (%s): no hotspot tables", k)
-    emit(located)
-    emit(reports.correlations(places, crimes, violence, stations, offenders))
+            if manifest.facts(f"result-{name}") is None:
+                emit(name, table)
+        return list(tables)
+
+    def times() -> DataFrame:
+        return manifest.staged("time_counts", lambda: reports.time_counts(crimes))
+
+    def places() -> DataFrame:
+        return manifest.staged("place_counts", lambda: reports.place_counts(crimes))
+
+    def hotspots() -> reports.Tables:
+        located = reports.crime_hotspots(crimes, k)
+        if not located:
+            log.warning("fewer located crimes than clusters (%s): no hotspot tables", k)
+        return located
+
+    analyse("trends", lambda: reports.crime_trends(times()))
+    analyse("rates", lambda: reports.arrest_rates(places(), crimes, arrests))
+    analyse("joins", lambda: reports.dataset_joins(crimes, arrests, stations))
+    analyse("hotspots", hotspots)
+    analyse("correlations", lambda: reports.correlations(places(), crimes, violence, stations, offenders))
     return report
 
 
 def main() -> int:
-    """Run with ``DATA_DIR``, ``OUTPUT_DIR``, ``PG_URL``, ``PG_USER``, ``JDBC_CONNECTIONS`` and ``PREVIEW_ROWS``
-    from the environment."""
+    """Run with ``DATA_DIR``, ``OUTPUT_DIR``, ``PG_URL``, ``PG_USER``, ``JDBC_CONNECTIONS``, ``PREVIEW_ROWS`` and
+    ``RUN_ID`` from the environment.
+
+    A run that fails leaves what it finished under its RUN_ID, by default one for these inputs and this database,
+    and the next run of that id goes on from there. A run that ends leaves nothing.
+    """
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(message)s")
     try:
         url = os.environ["PG_URL"]
@@ -96,13 +144,18 @@ def main() -> int:
     output = os.environ.get("OUTPUT_DIR")
     if output and spark.conf.get("spark.checkpoint.dir", None) is None:
         spark.sparkContext.setCheckpointDir(f"{output.rstrip('/')}/_checkpoints")
+    data_dir = os.environ.get("DATA_DIR", "/data")
+    default_id = hashlib.sha256(f"{data_dir} {url}".encode()).hexdigest()[:16]
     try:
+        manifest = Manifest(spark, f"{shared_folder(spark)}/casebook/runs/{os.environ.get('RUN_ID', default_id)}")
         run(
             spark,
-            input_paths(os.environ.get("DATA_DIR", "/data")),
+            input_paths(data_dir),
             lambda df, name: write_table(df, name, target),
             preview=int(os.environ.get("PREVIEW_ROWS", "0")),
+            manifest=manifest,
         )
+        manifest.clear()
     except MissingInput as error:
         log.error("%s", error)
         return 1

@@ -194,7 +194,12 @@ def load_csv(
         if stage:
             move(spark, target, stage)
             target = stage
-    staged = spark.read.schema(table.schema).parquet(target)
+    return staged_rows(spark, target, profile)
+
+
+def staged_rows(spark: SparkSession, stage: str, profile: dict[str, int]) -> Loaded:
+    """A dataset from the table it was staged to, with the profile taken then."""
+    staged = spark.read.parquet(stage)
     return Loaded(
         rows=staged.filter(F.col(ROW_STATE) == KEPT).drop(*NOT_ROWS),
         malformed=staged.filter(F.col(RAW_LINE).isNotNull()).drop(UNREAD, FILE, ODD),

@@ -6,7 +6,9 @@ import uuid
 import duckdb
 import pytest
 
+from casebook.plans import job
 from casebook.plans.job import input_paths, main, run
+from casebook.plans.manifest import Manifest, fingerprint
 from casebook.session import drop_scratch, scratch, scratch_folder, written
 from casebook.sinks.jdbc import JdbcTarget, write_table
 from casebook.sources.csv import MissingInput
@@ -167,6 +169,74 @@ def test_correlations(done, sql):
         assert correlations[name] == pytest.approx(expected[0], abs=1e-9)
 
 
+def test_a_stopped_run_goes_on_at_the_next_table(spark, small, tmp_path, monkeypatch, done):
+    """Nothing staged is parsed again and nothing written is written again; other inputs begin anew."""
+    inputs, folder = tmp_path / "inputs", str(tmp_path / "run")
+    inputs.mkdir()
+    write_files(small, str(inputs))
+    written_tables, parsed = [], []
+    load = job.load_csv
+    monkeypatch.setattr(job, "load_csv", lambda spark, path, spec, **rest: parsed.append(spec.name) or load(spark, path, spec, **rest))
+
+    def write(df, name):
+        if len(written_tables) == stop:
+            raise RuntimeError("stopped")
+        written_tables.append(name)
+        return df.count()
+
+    for stop, stopped in ((9, True), (10, True), (None, False)):
+        if stopped:
+            with pytest.raises(RuntimeError, match="stopped"):
+                run(spark, input_paths(str(inputs)), write, manifest=Manifest(spark, folder))
+        else:
+            report = run(spark, input_paths(str(inputs)), write, manifest=Manifest(spark, folder))
+    assert len(written_tables) == len(set(written_tables)) == len(TABLES) and len(parsed) == len(set(parsed)) == 5
+    assert report.rows == done[0].rows and report.profiles == done[0].profiles
+    assert report.correlations == pytest.approx(done[0].correlations)
+    manifest = Manifest(spark, folder)
+    assert manifest.facts("result-yearly_trends") == {"rows": report.rows["yearly_trends"]}
+    manifest.begin("other inputs")
+    assert manifest.facts("result-yearly_trends") is None and not os.path.exists(manifest.table("crimes"))
+    manifest.clear()
+    assert not os.path.exists(folder)
+
+
+def test_changed_inputs_have_another_fingerprint(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1")
+    first = fingerprint(spark, [str(tmp_path)])
+    assert fingerprint(spark, [str(tmp_path)]) == first
+    (tmp_path / "b.csv").write_text("2")
+    assert fingerprint(spark, [str(tmp_path)]) != first
+
+
+def test_the_program_leaves_what_a_failed_run_finished(spark, small, tmp_path, monkeypatch):
+    """And nothing when it ends."""
+    (tmp_path / "inputs").mkdir()
+    write_files(small, str(tmp_path / "inputs"))
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(job, "shared_folder", lambda spark: str(shared))
+    monkeypatch.setattr(job, "build_session", lambda: spark)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    monkeypatch.setattr(job, "drop_scratch", lambda spark: None)
+    for name, value in {"PG_URL": "jdbc:postgresql://nowhere/db", "DATA_DIR": str(tmp_path / "inputs")}.items():
+        monkeypatch.setenv(name, value)
+    calls = []
+
+    def write(df, name, target):
+        calls.append(name)
+        if len(calls) == 3:
+            raise RuntimeError("no database")
+        return df.count()
+
+    monkeypatch.setattr(job, "write_table", write)
+    with pytest.raises(RuntimeError):
+        main()
+    [left] = (shared / "casebook" / "runs").iterdir()
+    assert (left / "result-yearly_trends.json").exists()
+    assert main() == 0 and len(calls) == len(TABLES) + 1
+    assert not left.exists()
+
+
 def test_missing_inputs_stop_the_job(spark, tmp_path):
     with pytest.raises(MissingInput) as error:
         run(spark, input_paths(str(tmp_path)), lambda df, name: 0)
