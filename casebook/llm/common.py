@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,6 +60,43 @@ def with_positions(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return joined.select(*df.columns, (F.col("_before") + row).alias("position"), "total")
 
 
+#: Bits of a row's place in its file, below the number of the file.
+PLACE_BITS = 40
+#: The column of row numbers; a name that no table has.
+ROW = "_casebook_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``ROW``, a number that names each row in every reading of a table of files.
+
+    It is the row's place in its file and the number of the file, so it does not hang on how a reading
+    is split. Rows that come from elsewhere are written first. One row for each file is numbered in
+    one place and joined.
+    """
+    if not is_table_of_files(docs):
+        docs = written(docs, "rows")
+    placed = docs.select("*", F.col("_metadata.file_path").alias("_casebook_file"), F.col("_metadata.row_index").alias("_casebook_place"))
+    files = placed.select("_casebook_file").distinct()
+    files = written(files.withColumn("_casebook_file_number", F.row_number().over(Window.orderBy("_casebook_file")).cast("long")), "files")
+    row = F.shiftleft("_casebook_file_number", PLACE_BITS) + F.col("_casebook_place")
+    return placed.join(files, "_casebook_file").select(*[f"`{c}`" for c in docs.columns], row.alias(ROW))
+
+
+def is_table_of_files(docs: DataFrame) -> bool:
+    """Whether ``docs`` is a Parquet table as it was read, whose rows have a place in a file."""
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        return False
+    return docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation"
+
+
+def without_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of a ``numbered`` table but those with a number ``_found``, without the numbers."""
+    found = written(found.select("_found"), "found-rows")
+    return docs.join(found, F.col(ROW) == F.col("_found"), "left_anti").drop(ROW)
+
+
 def unsigned_mix(values: np.ndarray) -> np.ndarray:
     """A 64-bit finalising mix: every input bit reaches every output bit."""
     values = values ^ (values >> np.uint64(32))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import let
+from casebook.llm.common import ROW, let, numbered, without_rows
 from casebook.session import written
 
 WORDS = 5
@@ -109,6 +109,7 @@ def contaminated(
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no test item, with all their columns."""
-    found = contaminated(docs, items).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_found")), "left_anti")
+    """The rows that hold no test item, with all their columns; rows of one doc_id are judged each for itself."""
+    rows = numbered(docs)
+    found = contaminated(rows.select(F.col(ROW).alias("doc_id"), "text"), items)
+    return without_rows(rows, found.select(F.col("doc_id").alias("_found")).distinct())

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import byte_column
+from casebook.llm.common import ROW, byte_column, numbered, without_rows
 from casebook.llm.components import components
 from casebook.llm.fingerprints import (
     ENTRY_SCHEMA,
@@ -356,9 +356,16 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, rou
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least doc_id, with all its columns.
+    """One row of each group of near duplicates, with all its columns: that of the least doc_id, then the first.
 
-    Rows of one doc_id stay or go together; rows without one stay.
+    Rows are told by their place in the input, so rows of one doc_id, or without one, that differ in their
+    texts are judged each for itself; exact repeats are copies. Rows without words stay.
     """
-    others = near_duplicates(docs).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_other"))
-    return docs.join(others.distinct(), F.col("doc_id").cast("long") == F.col("_other"), "left_anti")
+    rows = numbered(docs)
+    classes = near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text")).filter("n_shingles > 0")
+    named = rows.select(F.col(ROW).alias("_row"), "doc_id").join(classes.withColumnRenamed("doc_id", "_of"), F.col("_row") == F.col("_of"))
+    members = written(named.select("component_id", F.col("doc_id").isNull().alias("without_id"), "doc_id", "_row"), "members")
+    best = members.groupBy("component_id").agg(F.min(F.struct("without_id", "doc_id", "_row")).alias("best"), F.count("*").alias("size"))
+    best = best.filter("size > 1").select("component_id", F.col("best._row").alias("_best"))
+    copies = members.join(best, "component_id").filter("_row != _best")
+    return without_rows(rows, copies.select(F.col("_row").alias("_found")))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import crc32_of
+from casebook.llm.common import ROW, crc32_of, numbered, without_rows
 from casebook.session import written
 
 #: Labelled rows the model is fitted on at most: the bounded sample. Two thirds teach the lexicon, the
@@ -422,6 +422,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents not predicted toxic, with all their columns."""
-    scored = with_scores(docs, fit(docs, labels), "_toxicity")
-    return scored.filter(F.col("_toxicity") < THRESHOLD).select(*[f"`{c}`" for c in docs.columns])
+    """The rows not predicted toxic, with all their columns.
+
+    Only texts and row numbers go to the model, and only the numbers of toxic rows come back.
+    """
+    rows = numbered(docs)
+    scored = with_scores(rows.select(ROW, "text"), fit(docs, labels))
+    return without_rows(rows, scored.filter(F.col("score") >= THRESHOLD).select(F.col(ROW).alias("_found")))
