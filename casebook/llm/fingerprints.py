@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from casebook.llm.common import ROW_BITS, blocks_of
 
 #: Text of a block, which is in memory as a whole, and documents of it, counted in 16 bits.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BLOCK_DOCS = 1 << 16
 #: Text whose fingerprints are in one bucket, on average.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 6 << 20
 LOW_BITS = 48
 LOW = np.uint64((1 << LOW_BITS) - 1)
 
