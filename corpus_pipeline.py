@@ -22,7 +22,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least doc_id."""
+    """One row of each group of near duplicates, that of the least doc_id."""
     return jaccard_join.one_of_each(docs)
 
 
@@ -55,8 +55,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each one's rows are written and read again by the next.
 
-    Nulls, empty texts and repeated rows are kept or told by the rules of each operator; further
-    columns of documents pass through all stages but the last; an empty table gives no rows.
+    Rows are judged by their texts, each for itself: a row that goes takes no other of its doc_id with it.
+    Rows without words pass all filters; of exact repeats one stays. In the mixture, rows of one doc_id are
+    repeated alike. Further columns of documents pass through all stages but the last; an empty table
+    gives no rows.
     """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
