@@ -445,6 +445,7 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         .groupBy("container")
         .applyInArrow(scorer, "container long, place int, n_best long, count_sum long")
     )
+    scores = written(scores, "scores")
     zero = lambda name: F.coalesce(name, F.lit(0)).cast("long").alias(name)
     return documents.join(scores, ["container", "place"], "left").select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", zero("n_best"), zero("count_sum"), "groups_sha256"
