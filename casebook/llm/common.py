@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -97,6 +98,14 @@ def without_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
     return docs.join(found, F.col(ROW) == F.col("_found"), "left_anti").drop(ROW)
 
 
+def give_back() -> None:
+    """Return this process's freed memory to the machine: a worker that has nothing to do stays beside later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def unsigned_mix(values: np.ndarray) -> np.ndarray:
     """A 64-bit finalising mix: every input bit reaches every output bit."""
     values = values ^ (values >> np.uint64(32))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import ROW, byte_column, numbered, without_rows
+from casebook.llm.common import ROW, byte_column, give_back, numbered, without_rows
 from casebook.llm.components import components
 from casebook.llm.fingerprints import (
     ENTRY_SCHEMA,
@@ -74,6 +74,8 @@ def document_rows(n: int, buckets: int):
             if len(sets):
                 packed = entry_rows(row, sets, np.repeat(np.arange(rows), sizes), buckets)
                 yield pa.record_batch(without_document(packed), names=NAMES)
+        sets = bounds = sizes = packed = None
+        give_back()
 
     return compute
 
@@ -88,6 +90,7 @@ def shared_or_document(buckets: int):
             columns = [rows["block"], nothing, nothing, nothing, rows["row"], rows["doc_id"], rows["n"], rows["digest"]]
         else:
             columns = without_document(shared_in_bucket(rows))
+            give_back()
         return pa.table(columns, names=[column.split()[0] for column in PARTED_SCHEMA.split(", ")])
 
     return compute

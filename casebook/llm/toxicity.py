@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import ROW, crc32_of, numbered, without_rows
+from casebook.llm.common import ROW, crc32_of, give_back, numbered, without_rows
 from casebook.session import written
 
 #: Labelled rows the model is fitted on at most: the bounded sample. Two thirds teach the lexicon, the
@@ -387,6 +387,7 @@ def scorer(model: Model, text_at: int, name: str):
                 continue
             x = np.array([features(t.as_py() or "", automaton) for t in batch.column(text_at)])
             yield pa.record_batch([*batch.columns, pa.array(model.scores(x))], names=[*batch.schema.names, name])
+        give_back()
 
     return score
 
