@@ -210,7 +210,7 @@ def encoder(path: str, end_id: int):
     return encode
 
 
-def write_tokens(docs: DataFrame, path: str, end_id: int, target: str) -> None:
+def write_tokens(docs: DataFrame, path: str, end_id: int, target: str, file_bytes: int = FILE_BYTES) -> None:
     """Write the ids of every whole text, in ascending doc_id order over files and rows.
 
     The files hold doc_id, file_no, file_start (ids before it in its file), n_tokens and ids, a list
@@ -218,7 +218,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, target: str) -> None:
     metadata, or the documents of a range of doc_id, without reading other ids.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    files = max(1, -(-size // FILE_BYTES))
+    files = max(1, -(-size // file_bytes))
     tie = F.xxhash64(whole_text()).alias("tie")
     ordered = (
         docs.select("doc_id", whole_text().alias("text"), tie)
@@ -258,12 +258,15 @@ def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def tokenize_to_files(docs: DataFrame, path: str, end_id: int = 2, target: str | None = None) -> DataFrame:
+def tokenize_to_files(
+    docs: DataFrame, path: str, end_id: int = 2, target: str | None = None, file_bytes: int = FILE_BYTES
+) -> DataFrame:
     """Encode every whole text, write the ids to Parquet files and read these back.
 
     The texts are sorted by range of doc_id over all tasks and encoded where they arrive: every
     distinct chunk between white space once per task by the library, texts put together from these
-    ids. The files lie below ``target``, by default in the shared scratch folder.
+    ids. The files lie below ``target``, by default in the shared scratch folder, each of about ``file_bytes`` of
+    text: less text in a task holds fewer chunks in memory, and encodes more of them in several tasks.
 
     Returns from the files doc_id, start (ids of all documents before it), n_tokens and ids_crc32
     (of the ids as little-endian unsigned 32-bit integers), one row for each row of ``docs``. A null
@@ -272,7 +275,7 @@ def tokenize_to_files(docs: DataFrame, path: str, end_id: int = 2, target: str |
     """
     spark = docs.sparkSession
     target = target or scratch_path(spark, "tokens")
-    write_tokens(docs, path, end_id, target)
+    write_tokens(docs, path, end_id, target, file_bytes)
     stored = spark.read.parquet(target).select("doc_id", "file_no", "file_start", "ids")
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {doc_type}, file_no int, file_start long, n_tokens long, ids_crc32 long"
