@@ -13,6 +13,9 @@ from casebook.llm.common import table
 from casebook.llm.queries import TARGETS, vocabulary
 from casebook.session import written
 
+#: Text of a token file: its task holds the distinct chunks beside what earlier stages left in the executor.
+TOKEN_FILE_BYTES = 20 << 20
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -38,7 +41,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, read from the token files written."""
-    return token_files.tokenize_to_files(docs, vocabulary(spark, "byte_bpe_50k.json"))
+    return token_files.tokenize_to_files(docs, vocabulary(spark, "byte_bpe_50k.json"), file_bytes=TOKEN_FILE_BYTES)
 
 
 STAGES: list[tuple[str, Stage]] = [
