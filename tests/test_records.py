@@ -53,7 +53,7 @@ def as_text(headers):
 
 
 def random_file(generator):
-    parts = ["a", ",", "x,y", '"', '""', "\n", '"\n"', ',"', '",', '\n1,"b', 'c",2\n', "\r\n", "1,2,3\n", '1,"p\nq,\n""r""",3\n', "\n\n"]
+    parts = ["a", ",", "x,y", '"', '""', "\n", '"\n"', ',"', '",', '\n1,"b', 'c",2\n', "\r\n", "1,2,3\n", '\n"x\ny",2,3\n', '\n1,2,"z\nw"\n', '1,"p\nq,\n""r""",3\n', "\n\n"]
     return "A,B,C\n" + "".join(generator.choice(parts) for _ in range(generator.randrange(5, 90)))
 
 
