@@ -181,6 +181,11 @@ def removal_rows(block: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.
     return out
 
 
+def removal_bucket(block: int, buckets: int) -> int:
+    """A group above the buckets, of which there are as many, for removals that need no comparison."""
+    return buckets + int(unsigned_mix(np.array([block], np.uint64))[0] % np.uint64(buckets))
+
+
 def segments(buckets: int):
     """Windows whose value several documents have, as segments of text dealt to buckets by that value.
 
@@ -231,7 +236,7 @@ def segments(buckets: int):
             removed = removal_rows(
                 np.full(int(repeated.sum()), block), doc[repeated], within_doc[repeated], (end - bounds[doc])[repeated]
             )
-            rows += [(buckets + block % 16, b, r) for b, r in removed]
+            rows += [(removal_bucket(block, buckets), b, r) for b, r in removed]
             order = np.flatnonzero(~repeated)
             order = order[np.argsort(bucket[order], kind="stable")]
             cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
