@@ -7,14 +7,15 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casebook.llm.common import let
+from casebook.llm.common import ROW, let, numbered
 
 #: 13 hexadecimal digits of a hash make a number below 2**52, which a double holds exactly.
 DIGITS = 13
 
 
 def key_text(column: str) -> Column:
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+    """What the draws of a ``numbered`` row are made of: its id, or its place where it has none."""
+    return F.coalesce(F.col(column).cast("string"), F.concat(F.lit("row:"), F.col(ROW)))
 
 
 def rates(docs: DataFrame, targets: Mapping[str, float], epochs: float) -> DataFrame:
@@ -58,7 +59,8 @@ def mix(docs: DataFrame, targets: Mapping[str, float], epochs: float = 1.0, seed
 
     A document is repeated k times, k being the inverse of the Poisson distribution of its
     source's mean rate at a number drawn from a hash of seed and doc_id. So the counts of all
-    documents are independent of layout and order, and a rerun gives the same mixture. The
+    documents are independent of layout and order, and a rerun gives the same mixture. A row without
+    doc_id draws by its place in the table's files, each for itself. The
     copies are then sorted by a second hash over all tasks.
 
     ``targets`` gives shares of the whole for some sources (their sum at most 1); the others share
@@ -68,9 +70,9 @@ def mix(docs: DataFrame, targets: Mapping[str, float], epochs: float = 1.0, seed
 
     Returns the columns of ``docs`` with rate, repeats, copy_no (from 1) and shuffle_key; columns of
     these names in the input are replaced. Null sources count with those not listed, null
-    texts with 0 bytes. Rows of one doc_id get the same count (null ids are all the same one),
+    texts with 0 bytes. Rows of one doc_id get the same count,
     rows repeated in the input are repeated each; an empty table, or one without bytes, gives no
-    rows.
+    rows. A table that is not one of files is written first.
     """
     added = ("rate", "repeats", "copy_no", "shuffle_key")
     return copies(docs, targets, epochs, seed).select(
@@ -90,7 +92,7 @@ def copies(docs: DataFrame, targets: Mapping[str, float], epochs: float, seed: s
     sources = with_distribution(rates(docs, targets, epochs)).select(
         F.col("listed").alias("_listed"), F.col("rate").alias("_rate"), F.col("reached").alias("_reached")
     )
-    packed = docs.select(
+    packed = numbered(docs).select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
         F.when(F.col("source").isin(list(targets)), F.col("source")).alias("_group"),
         key_text("doc_id").alias("_id"),
