@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,10 @@ from casebook.session import written
 
 WORDS = 5
 PERCENT = 80
-#: Sketch rows (16 bytes each) that are still broadcast; more are joined by shuffle.
+#: Sketch rows (16 bytes each), or ids of documents to verify, that are still broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Bytes of a broadcast id at most, on the average.
+ID_BYTES = 64
 
 
 def words_of(column: str) -> Column:
@@ -39,12 +43,14 @@ def needed(shingles: Column, percent: int) -> Column:
 
 
 def sketches(items: DataFrame, n: int, percent: int) -> DataFrame:
-    """item_id, hash: the smallest hashes of every item, as many as its size class needs.
+    """item_id, need, hash: the minima of every item, as many as its size class needs.
 
     An item of q shingles is found in a document that holds ``percent`` of them, so one of any
     q - needed(q) + 1 of its shingles is in that document. Items are partitioned by
     size into classes that end at powers of two, and each class keeps the number of minima its
-    largest size needs: no item is lost, and short items have short sketches.
+    largest size needs: no item is lost, and short items have short sketches. Minima are taken in one
+    order for all items, by the number of items that hold a shingle and then by its hash, so a phrase that
+    many items share is in their sketches last, and a document that holds no more of them meets none.
     """
     classed = (
         items.select("item_id", F.array_distinct(hashes_of(words_of("text"), n)).alias("hashes"))
@@ -52,9 +58,30 @@ def sketches(items: DataFrame, n: int, percent: int) -> DataFrame:
         .withColumn("upper", F.pow(F.lit(2), F.ceil(F.log2(F.size("hashes")))).cast("int"))
     )
     length = F.col("upper") - needed(F.col("upper"), percent) + 1
-    minima = F.slice(F.array_sort("hashes"), F.lit(1), length)
     need = needed(F.size("hashes"), percent)
-    return classed.select("item_id", need.alias("need"), F.explode(minima).alias("hash"))
+    # rows of one item_id are items of their own
+    rows = classed.select(F.monotonically_increasing_id().alias("item"), "item_id", need.alias("need"), length.alias("length"), "hashes")
+    placed = written(rows.select("item", "item_id", "need", "length", F.explode("hashes").alias("hash")), "item-shingles")
+    held_by = placed.groupBy("hash").agg(F.count("*").alias("held_by"))
+    ordered = F.array_sort(F.collect_list(F.struct("held_by", "hash")))
+    minima = (
+        placed.join(held_by, "hash").groupBy("item", "item_id", "need", "length").agg(ordered.alias("ordered"))
+        .select("item_id", "need", F.explode(F.slice("ordered", F.lit(1), F.col("length"))).alias("least"))
+    )
+    return minima.select("item_id", "need", F.col("least.hash").alias("hash"))
+
+
+def short_lengths(items: DataFrame, n: int) -> list[int]:
+    """The numbers of words, fewer than ``n``, that items have."""
+    sizes = items.select(F.size(words_of("text")).alias("words")).filter((F.col("words") > 0) & (F.col("words") < n)).distinct()
+    return sorted(r.words for r in sizes.collect())
+
+
+def with_short(of: Callable[[Column, int], Column], n: int, lengths: list[int]) -> Column:
+    """The ``n``-word shingles of a text, as ``of`` makes them, and its shingles of the shorter lengths."""
+    if not lengths:
+        return of(words_of("text"), n)
+    return let(words_of("text"), lambda w: F.concat(*[of(w, length) for length in (n, *lengths)]))
 
 
 def contaminated(
@@ -65,13 +92,14 @@ def contaminated(
     The MinHash sketches of the items are probed with all shingles of all documents, whole
     texts, inside the scan; documents with fewer shingles than a match needs are told by their
     size. What is found is verified on the words themselves. The sketch is broadcast only when its
-    counted rows are within ``broadcast_rows``, otherwise both sides are joined by shuffle; the
+    counted rows are within ``broadcast_rows``, otherwise both sides are joined by shuffle; and so are the
+    ids of the documents to verify, which leave all other texts out of the shuffle. The
     result is the same.
 
     Returns doc_id, item_id, item_shingles, shared_shingles, containment: one row for each pair, the
-    best of several rows with one doc_id. Words are lower-case runs of letters and digits. A text
-    with fewer than ``n`` words is one shingle, so such an item is found only in a document of
-    just these words; texts that are null or hold no words match nothing. A null doc_id or item_id
+    best of several rows with one doc_id. Words are lower-case runs of letters and digits. An item
+    with fewer than ``n`` words is one shingle, found wherever a document holds these words in a row;
+    texts that are null or hold no words match nothing. A null doc_id or item_id
     is an id like another. Further columns are not read.
     """
     documents = docs.select("doc_id", "text")
@@ -79,8 +107,9 @@ def contaminated(
     sketch = written(sketches(tests, n, percent), "sketches")
     if sketch.count() <= broadcast_rows:
         sketch = F.broadcast(sketch)
+    lengths = short_lengths(tests, n)
     hashed = (
-        documents.select("doc_id", hashes_of(words_of("text"), n).alias("hashes"))
+        documents.select("doc_id", with_short(hashes_of, n, lengths).alias("hashes"))
         .select("doc_id", F.size("hashes").alias("held"), F.explode("hashes").alias("hash"))
     )
     candidates = (
@@ -88,12 +117,16 @@ def contaminated(
     )
     candidates = written(candidates.select(F.col("doc_id").alias("of_doc"), F.col("item_id").alias("of_item")), "candidates")
     asked = tests.select("item_id", F.array_distinct(shingles_of(words_of("text"), n)).alias("item_set"))
+    to_verify = written(candidates.select("of_doc").distinct(), "documents-to-verify")
+    ids = to_verify.agg(F.count("*").alias("rows"), F.avg(F.octet_length(F.col("of_doc").cast("string"))).alias("bytes")).first()
+    if ids.rows <= broadcast_rows and (ids.bytes or 0) <= ID_BYTES:
+        documents = documents.join(F.broadcast(to_verify), F.col("doc_id").eqNullSafe(F.col("of_doc")), "left_semi")
     pairs = candidates.join(asked, F.col("of_item").eqNullSafe(F.col("item_id")))
     # the text joins last, so that it is moved once whatever the number of items it holds
     by_doc = pairs.groupBy("of_doc").agg(F.collect_list(F.struct("item_id", "item_set")).alias("items"))
     held = (
         documents.join(by_doc, F.col("doc_id").eqNullSafe(F.col("of_doc")))
-        .select("doc_id", "items", shingles_of(words_of("text"), n).alias("doc_set"))
+        .select("doc_id", "items", with_short(shingles_of, n, lengths).alias("doc_set"))
         .select("doc_id", "doc_set", F.explode("items").alias("item"))
         .select(
             "doc_id", F.col("item.item_id").alias("item_id"), F.size("item.item_set").alias("item_shingles"),

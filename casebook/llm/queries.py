@@ -33,6 +33,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), TARGETS)
 
 
+#: Rows are told by their ids, which all rows of these tables have.
 OP1_SQL = """
 with d as (
   select *, case when source in ('src0', 'src1', 'src2') then source end as g,
@@ -94,7 +95,12 @@ worded as (
   from texts),
 shingled as (
   select distinct kind, id, array_to_string(w[i : i + 4], ' ') as s
-  from (select kind, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from worded where len(w) > 0)),
+  from (select kind, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from worded where len(w) > 0)
+  union
+  select kind, id, array_to_string(w[i : i + m - 1], ' ')
+  from (select kind, id, w, m, unnest(range(1, len(w) - m + 2)) as i
+        from worded, (select distinct len(w) as m from worded where kind = 'b' and len(w) between 1 and 4)
+        where kind = 'd' and len(w) > m)),
 asked as (select id, s, count(*) over (partition by id) as n from shingled where kind = 'b'),
 shared as (
   select d.id as doc_id, a.id as item_id, a.n::integer as item_shingles, count(*)::integer as shared_shingles
