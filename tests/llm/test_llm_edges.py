@@ -115,6 +115,37 @@ def test_containment_just_reached(spark):
     assert {r.doc_id for r in decontamination.contaminated(docs, items).collect()} == {20, 21}
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
+def test_short_items_are_found_inside_documents(spark, broadcast_rows):
+    items = spark.createDataFrame([(1, "Alpha"), (2, "beta, gamma"), (3, "one two three four"), (None, "x y z"), (5, "")], "item_id long, text string")
+    texts = ["alpha", "many words and then alpha beta gamma too", "beta and gamma", "one two three four", "so one two three, four five",
+             "one two three", "x y z w", None, "gamma beta x y z"]
+    docs = spark.createDataFrame([(i if i < 8 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id, r.item_shingles, r.shared_shingles) for r in decontamination.contaminated(docs, items, broadcast_rows=broadcast_rows).collect()}
+    pairs = {(0, 1), (1, 1), (1, 2), (3, 3), (4, 3), (6, None), (None, None)}
+    assert found == {(d, i, 1, 1) for d, i in pairs}
+
+
+def test_items_of_one_template_make_few_candidates(spark, tmp_path, monkeypatch):
+    """Documents that hold the common phrase, but none of the items, meet no item."""
+    template = " ".join(f"t{i}" for i in range(40))
+    own = {i: " ".join(f"i{i}x{k}" for k in range(30)) for i in range(60)}
+    items = spark.createDataFrame([(i, f"{template} {text}") for i, text in own.items()], "item_id long, text string")
+    pages = [(d, f"p{d} q{d} {template} r{d} s{d}") for d in range(100)] + [(1000 + i, f"p {template} {own[i]} q") for i in range(5)]
+    docs = spark.createDataFrame(pages, "doc_id long, text string")
+    sizes, real = {}, decontamination.written
+
+    def counted(df, name):
+        done = real(df, name)
+        sizes[name] = done.count()
+        return done
+
+    monkeypatch.setattr(decontamination, "written", counted)
+    found = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, items).collect()}
+    assert found == {(1000 + i, i) for i in range(5)}
+    assert sizes["candidates"] == 5
+
+
 def test_mixing_reaches_its_targets(spark):
     docs = spark.range(20_000).select(
         F.col("id").alias("doc_id"), F.lit("ten bytes.").alias("text"), F.when(F.col("id") % 3 == 0, "hot").otherwise("rest").alias("source"),
@@ -129,6 +160,25 @@ def test_mixing_reaches_its_targets(spark):
     assert mixing.mix(docs, {"hot": 0.5, "absent": 0.1}, epochs=2.0).count() == len(keys)
 
 
+def test_rows_without_ids_draw_each_for_itself(spark, tmp_path):
+    rows = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("ten bytes.").alias("text"), F.lit("a").alias("source"))
+    rows.repartition(3).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    first, again = (sorted(r[0] for r in mixing.mix(docs, {}).select("shuffle_key").collect()) for _ in range(2))
+    assert abs(len(first) - 20_000) < 600 and first == again and len(set(first)) == len(first)
+
+
+def test_odd_rows_are_mixed(spark):
+    """Null sources, null texts, rows repeated in the input: each of these is repeated like the other."""
+    rows = [(7, "some text", None, 1)] * 2 + [(8, None, "a", 2), (None, None, None, 3), (9, "x" * 50, "a", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, repeats int")
+    mixed = mixing.mix(docs, {"a": 0.9}, epochs=20.0).collect()
+    counts = {}
+    for r in mixed:
+        counts.setdefault((r.doc_id, r.source), []).append(r.copy_no)
+    assert {k[0] for k in counts} == {7, 8, None, 9} and sorted(counts[7, None]) == sorted(2 * list(range(1, len(counts[7, None]) // 2 + 1)))
+
+
 def test_large_rates_do_not_underflow(spark):
     docs = spark.createDataFrame([(i, "x", "rare") for i in range(20)] + [(99, "y" * 20_000, "b")], "doc_id long, text string, source string")
     counts = mixing.mix(docs, {"rare": 0.999}, epochs=1.0).filter("source = 'rare'").count()
@@ -149,6 +199,24 @@ def test_repeats_by_brute_force(spark, tmp_path):
         assert found == brute_repeats(texts)
 
 
+def test_removals_are_spread_over_groups():
+    """As many groups as buckets, whatever the numbers of the blocks."""
+    blocks = [(part << 33) + row for part in range(40) for row in range(0, 5000, 200)]
+    groups = [repeats.removal_bucket(b, 100) for b in blocks]
+    assert min(groups) >= 100 and max(groups) < 200 and len(set(groups)) > 95
+    assert max(groups.count(g) for g in set(groups)) < 30
+
+
+def test_repeats_of_null_and_shared_ids(spark, tmp_path):
+    """A row without id comes after all others; rows of one id are no repeats of each other."""
+    line = "".join(chr(97 + i * 7 % 26) for i in range(80))
+    rows = [(3, "a" + line), (3, "b" + line), (None, line + "c"), (None, "d" + line), (5, line[10:]), (1, None), (2, "z" * 60)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(str(tmp_path / "d"))
+    found = sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans) for r in repeats.remove_repeats(spark.read.parquet(str(tmp_path / "d"))).collect())
+    none = [(True, 0, 81, 80, 1)] * 2
+    assert found == [(False, 1, 0, 0, 0), (False, 2, 60, 0, 0), (False, 3, 81, 0, 0), (False, 3, 81, 0, 0), (False, 5, 70, 70, 1), *none]
+
+
 def test_hot_values_are_dealt_by_window(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(repeats, "HOT_DOCUMENTS", 2)
     line = "a licence line that many documents hold, of more than fifty bytes in all"
@@ -327,6 +395,32 @@ def test_long_candidates_are_seen_whole():
     assert covered == set(range(5, 600)) and secrets.pieces(3, 51) == [(3, 51)]
 
 
+def found_by(text, looked_for):
+    """The spans a network would add that looks for one character."""
+    batch = pa.record_batch([pa.array([1]), pa.array([text])], names=["doc_id", "text"])
+    network = secrets.Network.fresh()
+    network.probabilities = lambda codes: (codes == ord(looked_for) - 31).any(axis=1).astype(float)
+    network.thresholds = (0.5,) * secrets.SHAPES
+    [rows] = [b.to_pylist() for b in secrets.reporter(network)(secrets.find(iter([batch])))]
+    return [s for s in rows[0]["spans"].split(",") if s.startswith("model")]
+
+
+def test_what_rules_leave_of_a_candidate_is_judged():
+    """A key behind the hexadecimal digits that a rule found in the same run of characters."""
+    key = "Q7" + "Zk" * 20
+    text = "see a/" + "b/" * 20 + "0123456789abcdef" * 2 + "/c" * 60 + "/" + key + "/d" * 50 + " end"
+    after = text.index("abcdef/") + 6
+    assert found_by(text, "Q") == [f"model:{after + 16}:{text.index(' end')}"] or found_by(text, "Q") == [f"model:{after}:{text.index(' end')}"]
+    assert list(secrets.uncovered(0, 100, [(20, 52), (60, 70)])) == [(0, 20), (70, 100)]
+    assert list(secrets.uncovered(5, 40, [(0, 60)])) == [] and list(secrets.uncovered(5, 40, [])) == [(5, 40)]
+
+
+def test_candidates_need_no_digit():
+    key = "QwertZuiopAsdfghJklYxcvbnMqaywsxEdcrfvTg"
+    assert found_by(f"the key is {key} here", "Q") == [f"model:11:{11 + len(key)}"]
+    assert secrets.candidate_spans("=" * 40 + " " + "-" * 30) == []
+
+
 def test_few_labelled_candidates_are_learned_from(spark):
     rows = [(i, f"token = {'0123456789abcdef'[i:]}{'fedcba9876543210'[: 16 + i]} and number {1000200030004000 + i * 7919} end") for i in range(5)]
     found = secrets.find(iter([pa.record_batch([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], names=["doc_id", "text"])]))

@@ -81,8 +81,8 @@ def clean(rows, items):
     return [r for r in rows if not any(5 * len(s & shingles(r[1])) >= 4 * len(s) for s in asked)]
 
 
-def mixed(rows, targets):
-    """Tags with their numbers of copies, by the inverse of the Poisson distribution at a hash of the id."""
+def mixed(rows, targets, places):
+    """Tags with their numbers of copies, by the inverse of the Poisson distribution at a hash of the id, or the place."""
     total = sum(len((r[1] or "").encode()) for r in rows)
     sizes = {}
     for r in rows:
@@ -93,7 +93,7 @@ def mixed(rows, targets):
         group = r[3] if r[3] in targets else None
         share = targets[group] if group else 1 - sum(targets.values())
         rate = share * total / sizes[group]
-        key = hashlib.md5(f"mix|{'' if r[0] is None else r[0]}".encode()).hexdigest()
+        key = hashlib.md5(f"mix|{f'row:{places[r[5]]}' if r[0] is None else r[0]}".encode()).hexdigest()
         u, k, reached = (int(key[:13], 16) + 0.5) / 16**13, 0, math.exp(-rate)
         term = reached
         while reached <= u:
@@ -122,7 +122,8 @@ def test_every_stage_keeps_the_right_rows(spark, planted, folder):
         # of exact repeats under one id, any row is as good
         key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
         assert sorted(map(key, found)) == sorted(map(key, wanted)), name
-    copies = mixed(found, llm.TARGETS)
+    places = {r.tag: r[common.ROW] for r in common.numbered(docs).collect()}
+    copies = mixed(found, llm.TARGETS, places)
     mixture = corpus_pipeline.mixed(spark, docs, folder).collect()
     counts = {}
     for r in mixture:

@@ -70,6 +70,21 @@ def test_shards_hold_the_mixture(spark, small, texts, connection):
     assert {r.law for r in rows} == {"rows"} and {r.grown_shard for r in rows} == {None}
 
 
+def test_shards_follow_the_fractions(spark, small, texts, connection):
+    """The whole order: rows shuffled within their source by a hash, then sorted by their fraction of it."""
+    source = dict(connection.execute("select doc_id, source from documents").fetchall())
+    draw = {d: hashlib.md5(f"shards|{d}".encode()).hexdigest() for d in texts}
+    placed = []
+    for one in set(source.values()):
+        own = sorted((draw[d], d) for d in texts if source[d] == one)
+        placed += [((rank + 0.5) / len(own), key, d) for rank, (key, d) in enumerate(own)]
+    shards = defaultdict(list)
+    for position, (_, _, d) in enumerate(sorted(placed)):
+        shards[position * 16 // len(placed)].append(d)
+    expected = {(d, shard, slot) for shard, own in shards.items() for slot, d in enumerate(own)}
+    assert {(r.doc_id, r.shard, r.slot) for r in llm.op6_sharding(spark, small).collect()} == expected
+
+
 def brute_repeats(texts, length=50):
     first, expected = {}, {}
     for doc_id in sorted(texts):
