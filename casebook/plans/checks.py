@@ -337,6 +337,21 @@ def constant_corr(spark, sf_dir):
     return keyed_correlation(keyed, "x", "y")
 
 
+@check("""
+with l as (select l_suppkey, sum(case when l_suppkey % 3 > 0 then l_quantity end) as x,
+                  sum(case when l_suppkey % 5 > 0 then l_extendedprice end) as y
+           from lineitem group by l_suppkey)
+select round(corr(x, y),6) as pearson_r from l
+""")
+def sparse_corr(spark, sf_dir):
+    """Pairs that lack either value take no part, in the deviations of the other value neither."""
+    keyed = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
+        F.sum(F.when(F.col("l_suppkey") % 3 > 0, F.col("l_quantity"))).alias("x"),
+        F.sum(F.when(F.col("l_suppkey") % 5 > 0, F.col("l_extendedprice"))).alias("y"),
+    )
+    return keyed_correlation(keyed, "x", "y").select(F.round("pearson_r", 6).alias("pearson_r"))
+
+
 # ---------------------------------------------------------------- places
 
 CUSTOMER_PLACE = {
@@ -372,7 +387,9 @@ def station_distance(spark, sf_dir):
 UNSURE_PLACE = {
     "c_custkey": "c_custkey",
     "latitude": """case c_mktsegment when 'BUILDING' then 0e0 when 'MACHINERY' then cast('NaN' as double)
-                   when 'HOUSEHOLD' then null else c_acctbal end""",
+                   when 'HOUSEHOLD' then null when 'FURNITURE' then
+                     case c_custkey % 3 when 0 then cast('Infinity' as double) when 1 then cast('-Infinity' as double) else c_acctbal end
+                   else c_acctbal end""",
     "longitude": "case when c_acctbal < 0 then null else c_acctbal end",
 }
 
@@ -380,7 +397,7 @@ UNSURE_PLACE = {
 @check(f"""
 with p as (select {as_sql(UNSURE_PLACE)} from customer)
 select * from p where latitude is not null and longitude is not null
-  and not isnan(latitude) and not isnan(longitude) and latitude <> 0 and longitude <> 0
+  and isfinite(latitude) and isfinite(longitude) and latitude <> 0 and longitude <> 0
 """)
 def valid_coordinates(spark, sf_dir):
     return valid_points(selected(table(spark, sf_dir, "customer"), UNSURE_PLACE), "latitude", "longitude")
@@ -526,7 +543,12 @@ DIRTY_VALUES = {
                    when 3 then concat('10', lpad(cast(cast(l_quantity as int) as string), 2, '0'))
                    when 4 then 'ab9' when 5 then null
                    else concat('6', lpad(cast(cast(l_quantity as int) as string), 2, '0')) end""",
-    "number": "case l_linenumber when 1 then 'n.a.' else cast(l_extendedprice as string) end",
+    "number": """case l_linenumber when 1 then 'n.a.' when 2 then concat(' ', cast(l_extendedprice as string), ' ')
+                   when 3 then concat('-', cast(l_extendedprice as string)) when 4 then concat(cast(l_extendedprice as string), 'e1')
+                   when 5 then '' when 6 then '1,000' else cast(l_extendedprice as string) end""",
+    "whole": """case l_linenumber when 1 then '2147483648' when 2 then '-2147483648'
+                  when 3 then concat(' ', cast(l_suppkey as string), ' ') when 4 then '' when 5 then '12a'
+                  when 6 then null else cast(l_suppkey as string) end""",
 }
 
 
@@ -539,7 +561,7 @@ select l_orderkey, l_linenumber, coalesce(lower(flag)='true', false) as arrest,
             when length(height)=4
               then try_cast(substring(height,1,2) as integer)*12+try_cast(substring(height,3,2) as integer)
             else try_cast(height as integer) end as height_inches,
-       try_cast(number as double) as amount
+       try_cast(number as double) as amount, try_cast(whole as integer) as whole
 from d
 """)
 def typed_casts(spark, sf_dir):
@@ -550,21 +572,37 @@ def typed_casts(spark, sf_dir):
         casts.label_code(F.col("district"), "Headquarters", 0).alias("district_clean"),
         casts.feet_inches(F.col("height")).alias("height_inches"),
         casts.to_double(F.col("number")).alias("amount"),
+        casts.to_int(F.col("whole")).alias("whole"),
     )
 
 
+# What stands in place of a date in one event of eleven each; the others have a date that can be read.
+UNREADABLE_MOMENTS = ("02/30/2020 10:00:00 AM", "01/02/2020 13:00:00 PM", "2020-01-02 10:00:00", "", None)
+UNREADABLE_DAYS = ("13/01/2020", "02/29/2021", "2020-01-02", "", None)
+
+
+def unless_unreadable(texts: tuple[str | None, ...], readable: Column) -> Column:
+    for place, text in enumerate(texts):
+        readable = F.when(F.col("event_id") % 11 == place, F.lit(text)).otherwise(readable)
+    return readable
+
+
 @check("""
-select event_id, strptime(strftime(ts,'%m/%d/%Y %I:%M:%S %p'),'%m/%d/%Y %I:%M:%S %p') as parsed,
-       cast(ts as date) as day, cast(year(ts) as integer) as year
+select event_id,
+       case when event_id % 11 >= 5 then strptime(strftime(ts,'%m/%d/%Y %I:%M:%S %p'),'%m/%d/%Y %I:%M:%S %p') end as parsed,
+       case when event_id % 11 >= 5 then cast(ts as date) end as day,
+       case when (event_type = 'error' and event_id % 13 <> 0) or event_id % 11 >= 5 then cast(year(ts) as integer) end as year
 from events
 """)
 def parse_timestamps(spark, sf_dir):
-    """Dates as text and back; the year comes from its own column for errors and from the date otherwise."""
+    """Dates as text and back, or null if they can't be read; the year comes from its own column for
+    errors, and from the date where that is blank or unreadable."""
+    year = F.when(F.col("event_id") % 13 == 0, "n.a.").when(F.col("event_type") == "error", F.date_format("ts", "yyyy"))
     texts = table(spark, sf_dir, "events").select(
         "event_id",
-        F.date_format("ts", casts.TIMESTAMP_PATTERN).alias("moment"),
-        F.date_format("ts", casts.DATE_PATTERN).alias("day"),
-        F.when(F.col("event_type") == "error", F.date_format("ts", "yyyy")).otherwise("").alias("year"),
+        unless_unreadable(UNREADABLE_MOMENTS, F.date_format("ts", casts.TIMESTAMP_PATTERN)).alias("moment"),
+        unless_unreadable(UNREADABLE_DAYS, F.date_format("ts", casts.DATE_PATTERN)).alias("day"),
+        year.otherwise("").alias("year"),
     )
     parsed = texts.select(
         "event_id",
@@ -679,14 +717,16 @@ UNEVEN_FILE = DatasetSpec(
 
 
 @check(f"""
-select {as_sql(UNEVEN_LINE)}, cast(o_orderkey as string) as id from orders
+select {as_sql(UNEVEN_LINE)}, cast(o_orderkey as string) as id, o_orderstatus as status,
+       case when o_orderstatus <> 'P' then o_orderpriority when o_orderpriority = '1-URGENT' then 'x' end as priority
+from orders
 where o_orderstatus = 'P' or o_orderpriority = '1-URGENT'
 """)
 def csv_malformed(spark, sf_dir):
     """Raw lines of rows with too few or too many fields, beside what could be read of them."""
     path = scratch_path(spark, "uneven_csv")
     selected(table(spark, sf_dir, "orders"), UNEVEN_LINE).write.text(path)
-    return load_csv(spark, path, UNEVEN_FILE).malformed.select(F.col(RAW_LINE).alias("value"), "id")
+    return load_csv(spark, path, UNEVEN_FILE).malformed.select(F.col(RAW_LINE).alias("value"), "id", "status", "priority")
 
 
 def jdbc_target(spark: SparkSession) -> JdbcTarget:
