@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from casebook.llm.common import blocks_of, whole_text
+from casebook.llm.common import blocks_of, give_back, whole_text
 from casebook.llm.token_counts import tokenizer
 from casebook.session import scratch_path
 
@@ -206,6 +206,9 @@ def encoder(path: str, end_id: int):
                     names=["doc_id", "file_no", "file_start", "n_tokens", "ids"],
                 )
                 before += int(bounds[-1])
+            give_back()
+        del pieces
+        give_back()
 
     return encode
 
@@ -256,6 +259,7 @@ def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [*batch.columns[:3], pa.array(np.diff(bounds).astype(np.int64)), pa.array(sums, pa.int64())],
             names=["doc_id", "file_no", "file_start", "n_tokens", "ids_crc32"],
         )
+    give_back()
 
 
 def tokenize_to_files(
