@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,8 +19,15 @@ SCALE = 1024
 SHARD_ROWS = 8_192
 LEAF_ROWS = 64
 BLOCK_QUERIES = 512
-#: Each wave of shards is so many times as large as all before it.
+#: Each wave of regions is so many times as large as all before it.
 WAVE_GROWTH = 3
+#: Regions of space at most, and the vectors they are fitted to: so many, and so many bytes, those of least hash.
+#: Larger regions have several shards, so that neither bounds the table.
+REGIONS = 1_024
+SAMPLE_VECTORS = 20_000
+SAMPLE_BYTES = 64 << 20
+#: Vectors of the sample in a region at least.
+REGION_SAMPLE = 16
 #: Components beyond this are cut to it, as no score could hold their products.
 LARGEST = 2.0**62
 
@@ -110,6 +118,15 @@ def build_shard(rows: pa.Table) -> pa.Table:
     )
 
 
+def upper_bounds(queries: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """The largest inner product each query can have in each ball: with the centre, plus its length times the radius."""
+    floats = queries.astype(np.float64)
+    lengths = np.sqrt((floats**2).sum(axis=1))
+    bounds = floats @ centres.T + lengths[:, None] * radii
+    # room for the rounding of sums in 64-bit floats
+    return bounds + 1 + 1e-9 * lengths[:, None] * (np.sqrt((centres**2).sum(axis=1)) + radii)
+
+
 def search(queries: np.ndarray, query_ids: np.ndarray, least: np.ndarray, tree: dict, dims: int, k: int):
     """The best ``k`` of a shard for each query among scores of at least ``least``, by branch and bound.
 
@@ -123,11 +140,7 @@ def search(queries: np.ndarray, query_ids: np.ndarray, least: np.ndarray, tree:
     nodes = np.frombuffer(tree["nodes"], np.int64).reshape(-1, 4)
     centres = np.frombuffer(tree["centres"], np.float64).reshape(len(nodes), dims)
     radii = np.frombuffer(tree["radii"], np.float64)
-    floats = queries.astype(np.float64)
-    lengths = np.sqrt((floats**2).sum(axis=1))
-    bounds = floats @ centres.T + lengths[:, None] * radii
-    # room for the rounding of sums in 64-bit floats
-    bounds += 1 + 1e-9 * lengths[:, None] * (np.sqrt((centres**2).sum(axis=1)) + radii)
+    bounds = upper_bounds(queries, centres, radii)
     nothing = np.iinfo(np.int64).min
     scores = np.full((len(queries), k), nothing)
     found = np.full((len(queries), k), np.iinfo(np.int64).max)
@@ -163,35 +176,139 @@ def search(queries: np.ndarray, query_ids: np.ndarray, least: np.ndarray, tree:
 
 
 def searcher(k: int):
-    def compute(blocks: pa.Table, trees: pa.Table) -> pa.Table:
-        out_query, out_vec, out_score = [], [], []
-        for tree in trees.to_pylist():
-            for block in blocks.to_pylist():
-                ids = np.frombuffer(block["ids"], np.int64)
-                queries = np.frombuffer(block["data"], np.int64).reshape(len(ids), block["dims"])
-                least = np.frombuffer(block["least"], np.int64)
-                scores, found = search(queries, ids, least, tree, block["dims"], k)
+    """The best of one shard for the queries sent to it, a pair of both at a time."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                ids = np.frombuffer(row["query_ids"], np.int64)
+                queries = np.frombuffer(row["data"], np.int64).reshape(len(ids), row["dims"])
+                least = np.frombuffer(row["least"], np.int64)
+                scores, found = search(queries, ids, least, row, row["dims"], k)
                 rows, places = np.nonzero(scores > np.iinfo(np.int64).min)
-                out_query.append(ids[rows])
-                out_vec.append(found[rows, places])
-                out_score.append(scores[rows, places])
-        join = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
-        return pa.table([join(out_query), join(out_vec), join(out_score)], names=["query_id", "vec_id", "score"])
+                yield pa.record_batch(
+                    [pa.array(ids[rows]), pa.array(found[rows, places]), pa.array(scores[rows, places])],
+                    names=["query_id", "vec_id", "score"],
+                )
 
     return compute
 
 
-BLOCK_SCHEMA = "block int, dims int, ids binary, data binary, least binary"
+class Regions:
+    """Parts of space for vectors of one length: the upper levels of a tree, fitted to a sample."""
+
+    def __init__(self, sample: np.ndarray, most: int):
+        self.splits: list[tuple] = []
+        self.centres: list[np.ndarray] = []
+        self.root = self.split(sample.astype(np.float64), most)
+
+    def split(self, own: np.ndarray, most: int) -> int:
+        """The number of a split, or below 0 the complement of a region's number."""
+        if most > 1 and len(own) >= 2 * REGION_SAMPLE:
+            far = own[np.argmax(((own - own.mean(axis=0)) ** 2).sum(axis=1))]
+            direction = own[np.argmax(((own - far) ** 2).sum(axis=1))] - far
+            along = own @ direction
+            middle = np.median(along)
+            low = along < middle
+            if low.any():
+                number = len(self.splits)
+                self.splits.append(())
+                left, right = self.split(own[low], most // 2), self.split(own[~low], most - most // 2)
+                self.splits[number] = (direction, middle, left, right)
+                return number
+        self.centres.append(own.mean(axis=0))
+        return ~(len(self.centres) - 1)
+
+    def numbers(self, floats: np.ndarray) -> np.ndarray:
+        """The region of each vector."""
+        at = np.full(len(floats), self.root)
+        while (at >= 0).any():
+            for number in np.unique(at[at >= 0]):
+                rows = np.flatnonzero(at == number)
+                direction, middle, left, right = self.splits[number]
+                at[rows] = np.where(floats[rows] @ direction < middle, left, right)
+        return ~at
+
+
+def fit_regions(whole: DataFrame, shard_rows: int) -> dict[int, Regions]:
+    """Regions by length of the vectors, about as many as there are shards; lengths outside of the sample have one."""
+    rows, widest = whole.agg(F.count("*"), F.max("dims")).first()
+    if not rows:
+        return {}
+    taken = max(1, min(SAMPLE_VECTORS, SAMPLE_BYTES // (8 * max(1, widest))))
+    # a bounded number of vectors
+    sample = whole.select("dims", "data").orderBy(F.xxhash64("vec_id", "data")).limit(taken).toArrow()
+    found = {}
+    for dims in sorted(set(sample["dims"].to_pylist())):
+        own = sample.filter(pc.equal(sample["dims"], dims))["data"].to_pylist()
+        share = len(own) / sample.num_rows
+        found[dims] = Regions(matrix(own, dims), max(1, min(round(REGIONS * share), -(-int(rows * share) // shard_rows))))
+    return found
+
+
+def placer(regions: dict[int, Regions]):
+    """Adds to vectors their region and their distance from its centre."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = batch.column("dims").to_numpy()
+            for dims in map(int, np.unique(lengths)):
+                own = batch.filter(pa.array(lengths == dims))
+                floats = matrix(own.column("data").to_pylist(), dims).astype(np.float64)
+                known = regions.get(dims)
+                at = known.numbers(floats) if known else np.zeros(len(floats), np.int64)
+                centres = np.array(known.centres)[at] if known else np.zeros_like(floats)
+                far = np.sqrt(((floats - centres) ** 2).sum(axis=1))
+                yield pa.record_batch(
+                    [*own.columns, pa.array(at.astype(np.int32)), pa.array(far)], names=["vec_id", "dims", "data", "region", "far"]
+                )
+
+    return place
+
+
+def router(regions: dict[int, Regions], sizes: dict[int, list[tuple]], first: int, last: int):
+    """Sends queries to the regions that rank from ``first`` to before ``last`` for their block.
+
+    The rank is by the largest inner product that any query of the block could have in a region. Only
+    the queries go whose own bound there reaches their k-th score so far.
+    """
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in batch.to_pylist():
+                dims, ids = block["dims"], np.frombuffer(block["ids"], np.int64)
+                queries = np.frombuffer(block["data"], np.int64).reshape(len(ids), dims)
+                least = np.frombuffer(block["least"], np.int64)
+                number, radii, shard, shards = map(np.array, zip(*sizes[dims], strict=True))
+                centres = np.array(regions[dims].centres)[number] if dims in regions else np.zeros((1, dims))
+                bounds = upper_bounds(queries, centres, radii)
+                kth = np.nextafter(least.astype(np.float64), -np.inf)
+                for at in np.argsort(-bounds.max(axis=0), kind="stable")[first:last]:
+                    asked = bounds[:, at] >= kth
+                    if asked.any():
+                        sent = [ids[asked].tobytes(), queries[asked].tobytes(), least[asked].tobytes()]
+                        yield pa.record_batch(
+                            [pa.array([int(shard[at])], pa.int32()), pa.array([int(shards[at])], pa.int32()),
+                             pa.array([dims], pa.int32()), *(pa.array([x], pa.binary()) for x in sent)],
+                            names=["first_shard", "shards", "dims", "query_ids", "data", "least"],
+                        )
+
+    return route
+
+
+SENT_SCHEMA = "first_shard int, shards int, dims int, query_ids binary, data binary, least binary"
+BLOCK_SCHEMA = "dims int, ids binary, data binary, least binary"
 
 
 def pack_block(rows: pa.Table) -> pa.Table:
     rows = rows.sort_by("query_id")
     pack = lambda a: pa.array([a], pa.binary())
     return pa.table(
-        [rows["block"].slice(0, 1).combine_chunks(), rows["dims"].slice(0, 1).combine_chunks(),
+        [rows["dims"].slice(0, 1).combine_chunks(),
          pack(rows["query_id"].to_numpy().tobytes()), pack(b"".join(rows["data"].to_pylist())),
          pack(rows["least"].to_numpy().tobytes())],
-        names=["block", "dims", "ids", "data", "least"],
+        names=["dims", "ids", "data", "least"],
     )
 
 
@@ -206,10 +323,11 @@ def top_k(vectors: DataFrame, query_every: int = 100, k: int = 10, shard_rows: i
     """The ``k`` rows of largest integer inner product with each query, exactly.
 
     Queries are the rows whose vec_id ``query_every`` divides; all rows but those with the query's
-    own id are candidates. Vectors are dealt by a hash of their ids into shards of bounded size,
-    each with a ball tree. Blocks of queries meet the shards in waves, each larger than all before
-    it: a query takes its k-th score so far into the next wave, where most nodes stay below it, and
-    only scores that reach it come back.
+    own id are candidates. Vectors go to regions of space, the upper levels of a tree fitted to a bounded
+    sample, and within a region by hash into shards of bounded size, each with a ball tree. Blocks of queries of a
+    region meet the regions in waves, those of the largest bound first, each wave larger than all
+    before it. A query takes its k-th score so far into the next wave and is sent only to regions whose bound
+    reaches it. The queries travel: a tree is shuffled once in a wave, however many queries there are.
 
     Returns query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id. Vectors that are null
     or hold a null or non-finite component take no part, nor do rows without vec_id; a vector is
@@ -220,31 +338,40 @@ def top_k(vectors: DataFrame, query_every: int = 100, k: int = 10, shard_rows: i
     spark = vectors.sparkSession
     read = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     whole = read.mapInArrow(integer_vectors, "vec_id long, dims int, data binary")
-    rows = vectors.count()
-    shards = max(1, -(-rows // shard_rows))
-    dealt = whole.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    regions = fit_regions(whole, shard_rows)
+    placed = written(whole.mapInArrow(placer(regions), "vec_id long, dims int, data binary, region int, far double"), "placed")
+    # a row for each region
+    sizes, shards = {}, 0
+    listed = []
+    per_region = placed.groupBy("dims", "region").agg(F.count("*").alias("n"), F.max("far").alias("radius"))
+    for r in per_region.orderBy("dims", "region").collect():
+        own = -(-r.n // shard_rows)
+        sizes.setdefault(r.dims, []).append((r.region, r.radius, shards, own))
+        listed.append((r.dims, r.region, shards, own))
+        shards += own
+    in_region = F.broadcast(spark.createDataFrame(listed, "dims int, region int, first_shard int, shards int"))
+    place = (F.col("first_shard") + F.pmod(F.xxhash64("vec_id", "data"), "shards")).cast("int")
+    dealt = placed.join(in_region, ["dims", "region"]).select(place.alias("shard"), "dims", "vec_id", "data")
     trees = written(dealt.groupBy("shard", "dims").applyInArrow(build_shard, TREE_SCHEMA), "trees")
-    asked = whole.filter(F.col("vec_id") % query_every == 0).groupBy("vec_id").agg(F.min(F.struct("dims", "data")).alias("v"))
-    blocks = max(1, -(-rows // (query_every * BLOCK_QUERIES)))
-    queries = written(
-        asked.select(F.col("vec_id").alias("query_id"), "v.dims", "v.data",
-                     F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)).cast("int").alias("block")),
-        "queries",
-    )
+    asked = placed.filter(F.col("vec_id") % query_every == 0).groupBy("vec_id").agg(F.min(F.struct("dims", "data", "region")).alias("v"))
+    queries = written(asked.select(F.col("vec_id").alias("query_id"), "v.*"), "queries")
+    blocks = queries.groupBy("dims", "region").agg(F.ceil(F.count("*") / BLOCK_QUERIES).alias("blocks"))
+    # as many rows as regions
+    queries = queries.join(F.broadcast(blocks), ["dims", "region"])
+    queries = queries.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "query_id"), "blocks")).drop("blocks")
     found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    first = 0
-    while first < shards:
-        last = min(shards, max(1, first * (1 + WAVE_GROWTH)))
+    most, first = max(map(len, sizes.values()), default=0), 0
+    while first < most:
+        last = min(most, max(1, first * (1 + WAVE_GROWTH)))
         kth = found.filter(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
         lowest = F.lit(-(2**63) + 1).cast("long")
         current = queries.join(kth, "query_id", "left").withColumn("least", F.coalesce("least", lowest))
-        packed = current.groupBy("block", "dims").applyInArrow(pack_block, BLOCK_SCHEMA)
-        # every block of queries against every shard of the wave
-        sent = packed.withColumn("shard", F.explode(F.sequence(F.lit(first), F.lit(last - 1))))
-        met = trees.filter((F.col("shard") >= first) & (F.col("shard") < last))
-        met = met.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        keys = ["shard", "dims", "block"]
-        new = sent.groupBy(*keys).cogroup(met.groupBy(*keys)).applyInArrow(searcher(k), "query_id long, vec_id long, score long")
+        packed = current.groupBy("dims", "region", "block").applyInArrow(pack_block, BLOCK_SCHEMA)
+        sent = packed.mapInArrow(router(regions, sizes, first, last), SENT_SCHEMA)
+        every = F.explode(F.sequence("first_shard", F.col("first_shard") + F.col("shards") - 1))
+        sent = sent.select(every.alias("shard"), "dims", "query_ids", "data", "least")
+        met = sent.join(trees, ["shard", "dims"])
+        new = met.mapInArrow(searcher(k), "query_id long, vec_id long, score long")
         found = written(best_of(found.select("query_id", "vec_id", "score").unionAll(new), k), "best")
         first = last
     return found
