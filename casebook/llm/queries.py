@@ -136,6 +136,34 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+#: Grams are told by their md5; the parts only keep the texts short from which they are cut.
+OP7_SQL = r"""
+with texts as (select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, ''))::bigint as n from documents),
+parts as (
+  select doc_id, q, h[2 * q + 1 : 2 * q + 2 * 1049] as part, least(1000, n - 49 - q) as here
+  from (select *, unnest(range(0, n - 49, 1000)) as q from texts where n >= 50)),
+grams as (
+  select doc_id, q + i as p, md5_number(part[2 * i + 1 : 2 * i + 100]) as g
+  from (select *, unnest(range(0, here)) as i from parts)),
+covered as (
+  select doc_id, p from (select *, min(doc_id) over (partition by g) as first_id from grams) where first_id < doc_id),
+runs as (
+  select doc_id, min(p) as a, max(p) + 50 as b, run
+  from (select *, sum(fresh) over (partition by doc_id order by p rows unbounded preceding) as run
+        from (select *, case when p <= lag(p) over (partition by doc_id order by p) + 50 then 0 else 1 end as fresh from covered))
+  group by doc_id, run),
+cut as (
+  select doc_id, count(*) as n_spans, sum(b - a) as n_removed, list(b order by a) as ends, list(a order by a) as starts
+  from runs group by doc_id)
+select t.doc_id, n as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(case when starts is null then h else
+    array_to_string(list_transform(range(0, len(starts) + 1),
+      lambda i: h[2 * (case when i = 0 then 0 else ends[i] end) + 1 : 2 * (case when i = len(starts) then n else starts[i + 1] end)]), '') end))
+    as kept_sha256
+from texts t left join cut using (doc_id)
+"""
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -144,6 +172,30 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+OP9_SQL = r"""
+with recursive worded as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+shingled as (
+  select distinct doc_id, array_to_string(w[i : i + 4], ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from worded where len(w) > 0)),
+sized as (
+  select d.doc_id, count(s) as n from documents d left join shingled s on d.doc_id = s.doc_id group by d.doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as same
+  from shingled a join shingled b on a.s = b.s and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id),
+links as (
+  select a, b from shared join sized x on x.doc_id = a join sized y on y.doc_id = b
+  where 100 * same >= 80 * (x.n + y.n - same)),
+reached as (
+  select doc_id, doc_id as component_id from sized
+  union
+  select b, component_id from reached join links on a = doc_id)
+select doc_id, any_value(n)::bigint as n_shingles, min(component_id) as component_id
+from reached join sized using (doc_id) group by doc_id
+"""
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -215,5 +267,7 @@ ORACLE_SQL: dict[str, str] = {
     "op1_mixing": OP1_SQL,
     "op2_top_k": OP2_SQL,
     "op3_decontamination": OP3_SQL,
+    "op7_repeats": OP7_SQL,
+    "op9_jaccard_join": OP9_SQL,
     "op11_fill_in_middle": OP11_SQL,
 }

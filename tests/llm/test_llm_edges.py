@@ -278,6 +278,61 @@ def test_top_k_over_waves_of_shards(spark):
     assert set(found) == set(range(0, 1000, 100))
 
 
+def test_regions_bound_their_vectors_and_queries_skip_those_below_their_score():
+    rng = np.random.default_rng(3)
+    corners = rng.integers(-4000, 4000, (8, 12))
+    vectors = np.concatenate([c + rng.integers(-40, 40, (500, 12)) for c in corners]).astype(np.int64)
+    regions = top_k.Regions(vectors[rng.permutation(len(vectors))[:1000]], 32)
+    at, centres = regions.numbers(vectors.astype(np.float64)), np.array(regions.centres)
+    far = np.sqrt(((vectors - centres[at]) ** 2).sum(axis=1))
+    radii = np.array([far[at == r].max(initial=0) for r in range(len(centres))])
+    scores = top_k.products(vectors[::100], vectors)
+    bounds = top_k.upper_bounds(vectors[::100], centres, radii)
+    assert len(centres) > 8 and (scores <= bounds[:, at]).all()
+    sizes = {12: [(r, radii[r], 2 * r, 2) for r in range(len(centres))]}
+    kth = np.sort(scores, axis=1)[:, -10]
+    block = pa.record_batch(
+        [pa.array([12], pa.int32()), *(pa.array([np.ascontiguousarray(x).tobytes()]) for x in (np.arange(40), vectors[::100], kth))],
+        names=["dims", "ids", "data", "least"],
+    )
+    sent = [b.to_pylist()[0] for b in top_k.router({12: regions}, sizes, 0, len(centres))(iter([block]))]
+    pairs = {(int(q), r["first_shard"] // 2) for r in sent for q in np.frombuffer(r["query_ids"], np.int64)}
+    needed = {(int(q), int(at[v])) for q, v in zip(*np.nonzero(scores >= kth[:, None]), strict=True)}
+    assert needed <= pairs and len(pairs) < 40 * len(centres) / 2
+
+
+def test_trees_hold_every_vector_once_whatever_the_number_of_queries(spark):
+    def trees_written(n):
+        rng = np.random.default_rng(5)
+        vectors = [(i, rng.random(4).tolist()) for i in range(n)]
+        met = []
+        whole = top_k.written
+        top_k.written = lambda df, name: met.append((name, whole(df, name))) or met[-1][1]
+        try:
+            top_k.top_k(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"), query_every=1, shard_rows=100)
+        finally:
+            top_k.written = whole
+        (trees,) = [df for name, df in met if name == "trees"]
+        return trees.count(), trees.agg(F.sum(F.octet_length("vectors"))).first()[0]
+
+    (few, small), (many, large) = trees_written(1000), trees_written(4000)
+    assert large == 4 * small and many <= 5 * few
+
+
+def test_top_k_of_one_vector_in_a_third_of_the_rows(spark):
+    rng = np.random.default_rng(4)
+    vectors = [[1.0, 2.0]] * 700 + rng.normal(size=(1400, 2)).tolist()
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    found = {}
+    for r in top_k.top_k(df, shard_rows=50).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    whole = np.floor(np.array(vectors) * 1024).astype(np.int64)
+    for q in range(0, 2100, 100):
+        scores = whole @ whole[q]
+        order = [int(i) for i in np.lexsort((np.arange(2100), -scores)) if i != q][:10]
+        assert sorted(found[q]) == [(k + 1, i, int(scores[i])) for k, i in enumerate(order)]
+
+
 def test_token_metadata_is_read_alone(spark, stored, tmp_path):
     target = str(tmp_path / "tokens")
     whole = token_files.tokenize_to_files(stored, vocabulary(spark, "byte_bpe_50k.json"), target=target)
