@@ -23,8 +23,8 @@ BLOCK_BYTES = 2 << 20
 KEPT_PIECES = 1_500_000
 #: Pieces handed to the library at a time; what it returns for them is large.
 CALL_PIECES = 20_000
-#: Text that one task encodes and writes to one file: the more, the fewer pieces are encoded twice.
-FILE_BYTES = 56 << 20
+#: Text that one task encodes and writes to one file: less holds fewer chunks in memory, more encodes fewer of them twice.
+FILE_BYTES = 20 << 20
 #: Row groups small enough to skip, pages with few rows, and dictionary codes for the ids, which
 #: come from a vocabulary that fits one dictionary page.
 FORMAT = {
