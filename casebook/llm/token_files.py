@@ -24,7 +24,7 @@ KEPT_PIECES = 1_500_000
 #: Pieces handed to the library at a time; what it returns for them is large.
 CALL_PIECES = 20_000
 #: Text that one task encodes and writes to one file: less holds fewer chunks in memory, more encodes fewer of them twice.
-FILE_BYTES = 20 << 20
+FILE_BYTES = 56 << 20
 #: Row groups small enough to skip, pages with few rows, and dictionary codes for the ids, which
 #: come from a vocabulary that fits one dictionary page.
 FORMAT = {
@@ -190,7 +190,7 @@ class PieceIds:
         return ids, upto[np.concatenate([[0], np.cumsum(sizes)])]
 
 
-def encoder(path: str, end_id: int):
+def encoder(path: str, end_id: int, tidy: bool = False):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = PieceIds(path, end_id)
         file_no, before = TaskContext.get().partitionId(), 0
@@ -206,14 +206,13 @@ def encoder(path: str, end_id: int):
                     names=["doc_id", "file_no", "file_start", "n_tokens", "ids"],
                 )
                 before += int(bounds[-1])
-            give_back()
-        del pieces
-        give_back()
+            if tidy:
+                give_back()
 
     return encode
 
 
-def write_tokens(docs: DataFrame, path: str, end_id: int, target: str, file_bytes: int = FILE_BYTES) -> None:
+def write_tokens(docs: DataFrame, path: str, end_id: int, target: str, file_bytes: int = FILE_BYTES, tidy: bool = False) -> None:
     """Write the ids of every whole text, in ascending doc_id order over files and rows.
 
     The files hold doc_id, file_no, file_start (ids before it in its file), n_tokens and ids, a list
@@ -231,7 +230,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, target: str, file_byte
     )
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {doc_type}, file_no int, file_start long, n_tokens long, ids array<int>"
-    ordered.mapInArrow(encoder(path, end_id), schema).write.options(**FORMAT).parquet(target)
+    ordered.mapInArrow(encoder(path, end_id, tidy), schema).write.options(**FORMAT).parquet(target)
 
 
 def read_metadata(spark: SparkSession, target: str) -> DataFrame:
@@ -259,11 +258,10 @@ def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [*batch.columns[:3], pa.array(np.diff(bounds).astype(np.int64)), pa.array(sums, pa.int64())],
             names=["doc_id", "file_no", "file_start", "n_tokens", "ids_crc32"],
         )
-    give_back()
 
 
 def tokenize_to_files(
-    docs: DataFrame, path: str, end_id: int = 2, target: str | None = None, file_bytes: int = FILE_BYTES
+    docs: DataFrame, path: str, end_id: int = 2, target: str | None = None, file_bytes: int = FILE_BYTES, tidy: bool = False
 ) -> DataFrame:
     """Encode every whole text, write the ids to Parquet files and read these back.
 
@@ -271,6 +269,7 @@ def tokenize_to_files(
     distinct chunk between white space once per task by the library, texts put together from these
     ids. The files lie below ``target``, by default in the shared scratch folder, each of about ``file_bytes`` of
     text: less text in a task holds fewer chunks in memory, and encodes more of them in several tasks.
+    With ``tidy``, workers give freed memory back after every batch, which takes time.
 
     Returns from the files doc_id, start (ids of all documents before it), n_tokens and ids_crc32
     (of the ids as little-endian unsigned 32-bit integers), one row for each row of ``docs``. A null
@@ -279,7 +278,7 @@ def tokenize_to_files(
     """
     spark = docs.sparkSession
     target = target or scratch_path(spark, "tokens")
-    write_tokens(docs, path, end_id, target, file_bytes)
+    write_tokens(docs, path, end_id, target, file_bytes, tidy)
     stored = spark.read.parquet(target).select("doc_id", "file_no", "file_start", "ids")
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {doc_type}, file_no int, file_start long, n_tokens long, ids_crc32 long"
