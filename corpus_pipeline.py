@@ -41,7 +41,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, read from the token files written."""
-    return token_files.tokenize_to_files(docs, vocabulary(spark, "byte_bpe_50k.json"), file_bytes=TOKEN_FILE_BYTES)
+    path = vocabulary(spark, "byte_bpe_50k.json")
+    return token_files.tokenize_to_files(docs, path, file_bytes=TOKEN_FILE_BYTES, tidy=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
