@@ -483,6 +483,27 @@ def test_few_labelled_candidates_are_learned_from(spark):
     assert max(secrets.fit(table).thresholds) <= 1
 
 
+def test_secrets_are_learned_from_all_candidates(spark, monkeypatch):
+    """Several groups train, and thresholds are those of all calibrating findings, more than 3,000 of one shape."""
+    random.seed(5)
+    monkeypatch.setattr(secrets, "PART_ROWS", 8_000)
+    monkeypatch.setattr(secrets, "EPOCHS", 2)
+    key = lambda letters, n: "".join(random.choice(letters) for _ in range(n))
+    made = [("0123456789abcdef", 24, 1, 1)] * 14_000 + [("ghijkl0123", 20, 2, 1)] * 60 + [("0123456789", 16, 0, 0)] * 1_000
+    windows = [(secrets.window(k := key(letters, n), 0, len(k)), shape, label) for letters, n, shape, label in made]
+    rows = [(i, [], [{"start": 0, "end": 20, "shape": s, "label": k, "window": w}]) for i, (w, s, k) in enumerate(windows)]
+    network = secrets.fit(spark.createDataFrame(rows, SECRET_ROWS))
+    judged = spark.createDataFrame([w for w in windows if w[2]], "window binary, shape int, label int")
+    kept = judged.distinct().filter("pmod(xxhash64(window), 4) = 3").collect()
+    shapes = np.array([r["shape"] for r in kept])
+    scores = network.probabilities(secrets.codes_of([bytes(r["window"]) for r in kept]))
+    assert len(kept) > 3_000
+    for shape, own in ((1, scores[shapes == 1]), (3, scores)):
+        assert abs(network.thresholds[shape] - np.sort(own)[secrets.rank(len(own))]) < 1e-6
+        assert (own >= network.thresholds[shape]).mean() >= secrets.LEAST_RECALL
+    assert network.probabilities(secrets.codes_of([w for w, _, label in windows if not label])).max() < network.thresholds[1]
+
+
 def test_pipeline_runs_on_odd_texts(spark, stored, items, labels, tmp_path):
     for name, df in (("documents", stored), ("benchmark", items), ("labels", labels)):
         df.write.parquet(str(tmp_path / f"{name}.parquet"))
