@@ -6,7 +6,7 @@ import functools
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -16,11 +16,15 @@ from pyspark.sql import functions as F
 
 from casebook.llm.common import blocks_of, give_back, whole_text
 from casebook.llm.token_counts import tokenizer
-from casebook.session import scratch_path
+from casebook.session import arrow_rows, scratch_path
 
-#: Bytes of text encoded at a time, and distinct pieces a task remembers before it starts anew.
+#: Bytes of text encoded at a time, and rows that a task is handed at a time.
 BLOCK_BYTES = 2 << 20
-KEPT_PIECES = 1_500_000
+BATCH_ROWS = 750
+#: Batches after which a tidy task gives freed memory back.
+TIDY_BATCHES = 8
+#: Distinct pieces a task remembers before it forgets those met once; about 250 bytes each.
+KEPT_PIECES = 700_000
 #: Pieces handed to the library at a time; what it returns for them is large.
 CALL_PIECES = 20_000
 #: Text that one task encodes and writes to one file: less holds fewer chunks in memory, more encodes fewer of them twice.
@@ -107,22 +111,39 @@ class Numbers(dict):
 class PieceIds:
     """Ids of the distinct chunks met so far, each encoded once by the library."""
 
-    def __init__(self, path: str, end_id: int):
-        self.path, self.end_id = path, end_id
+    def __init__(self, path: str, end_id: int, kept: int = KEPT_PIECES):
+        self.path, self.end_id, self.kept = path, end_id, kept
         self.reset()
 
     def reset(self) -> None:
         self.numbers = Numbers()
         self.flat, self.used = np.zeros(1 << 16, dtype=np.int32), 0
         self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.again = np.zeros(1 << 16, bool)
         self.numbers[MARK] = 0
         self.place(np.zeros(1, np.int64), np.array([self.end_id], np.int32), np.ones(1, np.int64))
 
+    def forget(self) -> None:
+        """Drop the chunks met once; all, where most were met again."""
+        kept = self.again[: len(self.numbers)].copy()
+        kept[0] = True
+        at = np.flatnonzero(kept)
+        if len(at) > self.kept // 2:
+            self.reset()
+            return
+        ids, upto = self.gathered(at)
+        chunks = list(compress(self.numbers, kept))
+        self.reset()
+        self.numbers.update(zip(chunks, range(len(chunks)), strict=True))
+        self.used = 0
+        self.place(np.arange(len(chunks)), ids, np.diff(upto))
+
     def place(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
         """Keep the ids of the chunks with these numbers."""
         while len(self.starts) < len(self.numbers):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+            self.again = np.concatenate([self.again, np.zeros_like(self.again)])
         while len(self.flat) < self.used + len(ids):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.used : self.used + len(ids)] = ids
@@ -133,15 +154,17 @@ class PieceIds:
     def add(self, new: list[bytes], number: int) -> None:
         """Ids of new chunks, numbered from ``number`` on: words with marks after them are put together from both."""
         stems = [c.rstrip(MARKS) for c in new]
-        split = np.fromiter((len(s) < len(c) and s[-1:].isalnum() for s, c in zip(stems, new, strict=True)), bool, len(new))
+        split = np.array([len(s) < len(c) and s[-1:].isalnum() for s, c in zip(stems, new, strict=True)], bool)
         compound = np.flatnonzero(split)
         pairs = np.empty(2 * len(compound), np.int64)
         number_of = self.numbers.__getitem__
-        pairs[0::2] = np.fromiter((number_of(stems[i]) for i in compound), np.int64, len(compound))
-        pairs[1::2] = np.fromiter((number_of(new[i][len(stems[i]) :]) for i in compound), np.int64, len(compound))
+        words, ended = list(compress(stems, split)), compress(new, split)
+        pairs[0::2] = np.fromiter(map(number_of, words), np.int64, len(compound))
+        marks = [c[len(s) :] for s, c in zip(words, ended, strict=True)]
+        pairs[1::2] = np.fromiter(map(number_of, marks), np.int64, len(compound))
         parts, self.numbers.fresh = self.numbers.fresh, []
         simple = np.flatnonzero(~split)
-        self.encode_all([new[i] for i in simple], number + simple)
+        self.encode_all(list(compress(new, ~split)), number + simple)
         self.encode_all(parts, len(self.numbers) - len(parts) + np.arange(len(parts)))
         ids, upto = self.gathered(pairs)
         self.place(number + compound, ids, np.diff(upto[0::2]))
@@ -155,9 +178,11 @@ class PieceIds:
         library = tokenizer(self.path)
         for i in range(0, len(new), CALL_PIECES):
             part, named = new[i : i + CALL_PIECES], numbers[i : i + CALL_PIECES]
-            plain = np.fromiter((c.rfind(b" ") == 0 for c in part), bool, len(part))
-            words = [c for c in part if c.rfind(b" ") == 0]
-            ids = np.array(library.encode(b"".join(words).decode(), add_special_tokens=False).ids, np.int32)
+            plain = np.array([c.rfind(b" ") == 0 for c in part], bool)
+            words = list(compress(part, plain))
+            # the batch call counts no offsets
+            [encoded] = library.encode_batch_fast([b"".join(words).decode()], add_special_tokens=False)
+            ids = np.array(encoded.ids, np.int32)
             first = np.flatnonzero(begins_with_blank(self.path)[ids]) if len(ids) else np.zeros(0, np.int64)
             if len(first) == len(words):
                 self.place(named[plain], ids, np.diff(np.append(first, len(ids))))
@@ -179,22 +204,29 @@ class PieceIds:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each followed by the end id, and the bounds of the texts."""
-        if len(self.numbers) > KEPT_PIECES:
-            self.reset()
-        cut = [[*chunks_of(t), MARK] for t in texts]
+        if len(self.numbers) > self.kept:
+            self.forget()
+        cut = [chunks_of(t) for t in texts]
+        for chunks in cut:
+            chunks.append(MARK)
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
         at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
         new, self.numbers.fresh = self.numbers.fresh, []
-        self.add(new, len(self.numbers) - len(new))
+        number = len(self.numbers) - len(new)
+        self.add(new, number)
+        self.again[at[at < number]] = True
         ids, upto = self.gathered(at)
         return ids, upto[np.concatenate([[0], np.cumsum(sizes)])]
 
 
-def encoder(path: str, end_id: int, tidy: bool = False):
+def encoder(path: str, end_id: int, tidy: bool = False, kept: int = KEPT_PIECES):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = PieceIds(path, end_id)
+        pieces = PieceIds(path, end_id, kept)
+        begins_with_blank(path)
+        # loading a vocabulary takes more than it holds
+        give_back()
         file_no, before = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for number, batch in enumerate(batches, 1):
             for block in blocks_of(batch, "text", BLOCK_BYTES):
                 ids, bounds = pieces.encode([t.encode() for t in block.column(1).to_pylist()])
                 tokens = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
@@ -206,13 +238,18 @@ def encoder(path: str, end_id: int, tidy: bool = False):
                     names=["doc_id", "file_no", "file_start", "n_tokens", "ids"],
                 )
                 before += int(bounds[-1])
-            if tidy:
+            if tidy and number % TIDY_BATCHES == 0:
                 give_back()
+        # the worker stays beside the stage that reads the files
+        del pieces
+        give_back()
 
     return encode
 
 
-def write_tokens(docs: DataFrame, path: str, end_id: int, target: str, file_bytes: int = FILE_BYTES, tidy: bool = False) -> None:
+def write_tokens(
+    docs: DataFrame, path: str, end_id: int, target: str, file_bytes: int = FILE_BYTES, tidy: bool = False, kept: int = KEPT_PIECES
+) -> None:
     """Write the ids of every whole text, in ascending doc_id order over files and rows.
 
     The files hold doc_id, file_no, file_start (ids before it in its file), n_tokens and ids, a list
@@ -230,7 +267,8 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, target: str, file_byte
     )
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {doc_type}, file_no int, file_start long, n_tokens long, ids array<int>"
-    ordered.mapInArrow(encoder(path, end_id, tidy), schema).write.options(**FORMAT).parquet(target)
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        ordered.mapInArrow(encoder(path, end_id, tidy, kept), schema).write.options(**FORMAT).parquet(target)
 
 
 def read_metadata(spark: SparkSession, target: str) -> DataFrame:
@@ -252,7 +290,7 @@ def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lists = batch.column(batch.num_columns - 1)
         bounds = lists.offsets.to_numpy()
-        ids = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
+        ids = lists.values.to_numpy(zero_copy_only=False).astype("<i4", copy=False)
         sums = [zlib.crc32(ids[a:b].data) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         yield pa.record_batch(
             [*batch.columns[:3], pa.array(np.diff(bounds).astype(np.int64)), pa.array(sums, pa.int64())],
@@ -261,15 +299,16 @@ def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def tokenize_to_files(
-    docs: DataFrame, path: str, end_id: int = 2, target: str | None = None, file_bytes: int = FILE_BYTES, tidy: bool = False
+    docs: DataFrame, path: str, end_id: int = 2, target: str | None = None, file_bytes: int = FILE_BYTES,
+    tidy: bool = False, kept: int = KEPT_PIECES,
 ) -> DataFrame:
     """Encode every whole text, write the ids to Parquet files and read these back.
 
     The texts are sorted by range of doc_id over all tasks and encoded where they arrive: every
-    distinct chunk between white space once per task by the library, texts put together from these
-    ids. The files lie below ``target``, by default in the shared scratch folder, each of about ``file_bytes`` of
+    distinct chunk between white space once per task by the library, or again after ``kept`` others if
+    it was met once, texts put together from these ids. The files lie below ``target``, by default in the shared scratch folder, each of about ``file_bytes`` of
     text: less text in a task holds fewer chunks in memory, and encodes more of them in several tasks.
-    With ``tidy``, workers give freed memory back after every batch, which takes time.
+    Workers give freed memory back at the end of a task, with ``tidy`` after some batches too, which takes time.
 
     Returns from the files doc_id, start (ids of all documents before it), n_tokens and ids_crc32
     (of the ids as little-endian unsigned 32-bit integers), one row for each row of ``docs``. A null
@@ -278,7 +317,7 @@ def tokenize_to_files(
     """
     spark = docs.sparkSession
     target = target or scratch_path(spark, "tokens")
-    write_tokens(docs, path, end_id, target, file_bytes, tidy)
+    write_tokens(docs, path, end_id, target, file_bytes, tidy, kept)
     stored = spark.read.parquet(target).select("doc_id", "file_no", "file_start", "ids")
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {doc_type}, file_no int, file_start long, n_tokens long, ids_crc32 long"

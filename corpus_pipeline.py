@@ -13,8 +13,9 @@ from casebook.llm.common import table
 from casebook.llm.queries import TARGETS, vocabulary
 from casebook.session import written
 
-#: Text of a token file: its task holds the distinct chunks beside what earlier stages left in the executor.
+#: Text of a token file, and distinct chunks its task holds beside what earlier stages left in the executor.
 TOKEN_FILE_BYTES = 20 << 20
+TOKEN_PIECES = 200_000
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -42,7 +43,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, read from the token files written."""
     path = vocabulary(spark, "byte_bpe_50k.json")
-    return token_files.tokenize_to_files(docs, path, file_bytes=TOKEN_FILE_BYTES, tidy=True)
+    return token_files.tokenize_to_files(docs, path, file_bytes=TOKEN_FILE_BYTES, tidy=True, kept=TOKEN_PIECES)
 
 
 STAGES: list[tuple[str, Stage]] = [

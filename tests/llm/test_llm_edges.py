@@ -504,6 +504,20 @@ def test_secrets_are_learned_from_all_candidates(spark, monkeypatch):
     assert network.probabilities(secrets.codes_of([w for w, _, label in windows if not label])).max() < network.thresholds[1]
 
 
+def test_token_files_forget_pieces_met_once(spark):
+    """A task holds a bounded number of pieces, keeps those met again, and the ids stay those of the library."""
+    path = vocabulary(spark, "byte_bpe_50k.json")
+    library, pieces = token_counts.tokenizer(path), token_files.PieceIds(path, 2, kept=200)
+    for n in range(40):
+        texts = [f"often seen, words{n}x{i} and 7{n}{i}. End\n" for i in range(20)]
+        ids, bounds = pieces.encode([t.encode() for t in texts])
+        whole = [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == whole
+        assert len(pieces.numbers) < 400
+    pieces.forget()
+    assert b" seen," in pieces.numbers and token_files.MARK in pieces.numbers and len(pieces.numbers) < 50
+
+
 def test_pipeline_runs_on_odd_texts(spark, stored, items, labels, tmp_path):
     for name, df in (("documents", stored), ("benchmark", items), ("labels", labels)):
         df.write.parquet(str(tmp_path / f"{name}.parquet"))
