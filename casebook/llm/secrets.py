@@ -36,6 +36,8 @@ WIDTH = BEFORE + OF + AFTER
 
 #: Examples that one group trains on between two means of the groups' networks.
 PART_ROWS = 6_000
+#: A label weighs as much as this many examples at most, so that one does not drown the other.
+BALANCED_ROWS = 3_000
 FEW_ROWS = 8
 #: The share of calibration findings that a threshold must keep.
 LEAST_RECALL = 0.95
@@ -185,13 +187,14 @@ class Network:
 
     def train(
         self, codes: np.ndarray, labels: np.ndarray, weights: tuple[float, float] = (1.0, 1.0),
-        epochs: range = range(EPOCHS), moments: Moments | None = None,
+        epochs: int = EPOCHS, seed: int | tuple[int, int] = 11, moments: Moments | None = None,
     ) -> Moments:
         """Adam over shuffled batches, the labels weighted; goes on from the moments of earlier epochs."""
         moments = moments or Moments.fresh(self)
         by_row = np.where(labels == 1, weights[1], weights[0])
-        for epoch in epochs:
-            order = np.random.default_rng((11, epoch)).permutation(len(codes))
+        random = np.random.default_rng(seed)
+        for _ in range(epochs):
+            order = random.permutation(len(codes))
             for start in range(0, len(codes), BATCH):
                 rows = order[start : start + BATCH]
                 moments.step += 1
@@ -296,14 +299,14 @@ def codes_of(windows: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(windows), np.uint8).reshape(len(windows), WIDTH).astype(np.int64)
 
 
-def learner(values: np.ndarray, weights: tuple[float, float], epochs: range):
+def learner(values: np.ndarray, weights: tuple[float, float], epochs: int, seed: int | tuple[int, int]):
     """Trains a group's examples on from the given network, and returns its values by their places."""
 
     def learn(rows: pa.Table) -> pa.Table:
-        rows = rows.take(pc.sort_indices(rows, [("window", "ascending"), ("label", "ascending"), ("shape", "ascending")]))
+        rows = rows.take(pc.sort_indices(rows["position"]))
         network, moments = unflat(values)
         moments = network.train(
-            codes_of(rows["window"].to_pylist()), rows["label"].to_numpy().astype(float), weights, epochs, moments
+            codes_of(rows["window"].to_pylist()), rows["label"].to_numpy().astype(float), weights, epochs, seed, moments
         )
         after = flat(network, moments)
         return pa.table({"place": np.arange(len(after)), "value": after, "n": np.full(len(after), rows.num_rows)})
@@ -314,18 +317,19 @@ def learner(values: np.ndarray, weights: tuple[float, float], epochs: range):
 def trained(examples: DataFrame, sizes: tuple[int, int]) -> Network:
     """A network trained on all examples: after every epoch it is the mean of those trained on from it by groups.
 
-    Groups are made by a hash of the windows, as many as PART_ROWS asks for. Both labels weigh alike.
+    Groups are made by a hash of the windows, as many as PART_ROWS asks for. Labels of more than BALANCED_ROWS weigh alike.
     """
     parts = max(1, -(-sum(sizes) // PART_ROWS))
-    weights = (sum(sizes) / (2 * sizes[0]), sum(sizes) / (2 * sizes[1]))
+    balanced = [min(n, BALANCED_ROWS) for n in sizes]
+    weights = tuple(b / n * sum(sizes) / sum(balanced) for b, n in zip(balanced, sizes, strict=True))
     part = F.pmod(F.xxhash64(F.lit("part"), "window"), F.lit(parts)).cast("int").alias("part")
-    dealt = examples.select("window", "label", "shape", part)
+    dealt = examples.select("window", "label", "position", part)
     network = Network.fresh()
     values = flat(network, Moments.fresh(network))
     # one group needs no means
-    for epochs in [range(EPOCHS)] if parts == 1 else [range(e, e + 1) for e in range(EPOCHS)]:
+    for epochs, seed in [(EPOCHS, 11)] if parts == 1 else [(1, (11, e)) for e in range(EPOCHS)]:
         learned = dealt.repartition(parts, "part").groupBy("part")
-        learned = learned.applyInArrow(learner(values, weights, epochs), "place long, value double, n long")
+        learned = learned.applyInArrow(learner(values, weights, epochs, seed), "place long, value double, n long")
         means = learned.groupBy("place").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value")).collect()
         values = np.array([r["value"] for r in sorted(means)])
     return unflat(values)[0]
@@ -381,19 +385,20 @@ def calibrated(network: Network, examples: DataFrame) -> Network:
 def fit(found: DataFrame) -> Network:
     """A network trained and calibrated on all candidates: those that rules found, and all others.
 
-    Repeated windows count once; a fourth of them, by a hash, calibrates, the rest trains. Where one label has
-    fewer than FEW_ROWS, or none in one of these, all train and all calibrate. Without candidates of both
-    labels nothing can be learned, and the network finds nothing.
+    Repeated windows count once. By label and hash, every fourth calibrates and the rest trains. Where one
+    label has fewer than FEW_ROWS, all train and all calibrate. Without candidates of both labels nothing can
+    be learned, and the network finds nothing.
     """
     candidates = found.select(F.explode("candidates").alias("c")).select("c.window", "c.label", "c.shape").filter("label >= 0")
-    calibrates = F.pmod(F.xxhash64("window"), F.lit(4)) == 3
-    examples = written(candidates.distinct().withColumn("calibrates", calibrates), "examples")
+    distinct = written(candidates.distinct().withColumn("hash", F.xxhash64("window")), "candidates-once")
+    placed = with_positions(distinct, ["label", "hash", "window", "shape"], "examples")
+    examples = placed.withColumn("calibrates", F.col("position") % 4 == 3)
     sizes = {(r["calibrates"], r["label"]): r["n"] for r in examples.groupBy("calibrates", "label").agg(F.count("*").alias("n")).collect()}
     train, calibrate = (tuple(sizes.get((kind, label), 0) for label in (0, 1)) for kind in (False, True))
     both = tuple(t + c for t, c in zip(train, calibrate, strict=True))
     if not all(both):
         return Network.fresh()
-    if min(both) < FEW_ROWS or not all(train + calibrate):
+    if min(both) < FEW_ROWS:
         return calibrated(trained(examples, both), examples)
     return calibrated(trained(examples.filter("not calibrates"), train), examples.filter("calibrates"))
 

@@ -493,8 +493,9 @@ def test_secrets_are_learned_from_all_candidates(spark, monkeypatch):
     windows = [(secrets.window(k := key(letters, n), 0, len(k)), shape, label) for letters, n, shape, label in made]
     rows = [(i, [], [{"start": 0, "end": 20, "shape": s, "label": k, "window": w}]) for i, (w, s, k) in enumerate(windows)]
     network = secrets.fit(spark.createDataFrame(rows, SECRET_ROWS))
-    judged = spark.createDataFrame([w for w in windows if w[2]], "window binary, shape int, label int")
-    kept = judged.distinct().filter("pmod(xxhash64(window), 4) = 3").collect()
+    judged = spark.createDataFrame(windows, "window binary, shape int, label int").distinct().withColumn("hash", F.xxhash64("window"))
+    ordered = sorted(judged.collect(), key=lambda r: (r["label"], r["hash"], bytes(r["window"])))
+    kept = [r for r in ordered[3::4] if r["label"]]
     shapes = np.array([r["shape"] for r in kept])
     scores = network.probabilities(secrets.codes_of([bytes(r["window"]) for r in kept]))
     assert len(kept) > 3_000
